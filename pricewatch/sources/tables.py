@@ -48,10 +48,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _read_pointer(spark: SparkSession, path: str) -> str | None:
-    pointer = f"{path}/{_POINTER}"
-    if not path_exists(spark, pointer):
+    fs, pointer = _fs(spark, f"{path}/{_POINTER}")
+    if not fs.exists(pointer):
         return None
-    return spark.sparkContext.wholeTextFiles(pointer).values().first().strip()
+    stream = fs.open(pointer)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "US-ASCII").strip()
+    finally:
+        stream.close()
 
 
 def _move_pointer(spark: SparkSession, path: str, version: str) -> None:
