@@ -36,6 +36,8 @@ def second_latest_load(complete: DataFrame, by: Sequence[str] = ()) -> DataFrame
 
 def _with_load_limit(rows: DataFrame, complete: DataFrame, by: Sequence[str]) -> DataFrame:
     limits = second_latest_load(complete, by)
+    if not by:
+        return rows.withColumn("load_limit", limits.scalar())
     return with_table_value(rows, limits, F.max("load_limit"), "load_limit", by)
 
 
@@ -140,21 +142,28 @@ def history_changes(
 ) -> DataFrame:
     """The days of `fill_history` on which a price differs from the day before, without building it."""
     series = Window.partitionBy(*keys).orderBy("date")
+    previous = {f"previous_{c}": F.lag(c).over(series) for c in ("date", "o", "c")}
+
+    first = F.col("previous_date").isNull()
+    follows_on = F.col("previous_date") == F.date_sub("date", 1)
+    blank = F.col("o").isNull() & F.col("c").isNull()
+    same_pair = F.col("previous_o").eqNullSafe(F.col("o")) & F.col("previous_c").eqNullSafe(F.col("c"))
+    # After a gap the day before has no prices, so only a blank day repeats it.
+    changed = first | F.when(follows_on, ~same_pair).otherwise(~blank)
+    gap_opens = (F.col("gap_end") > F.col("date")) & ~blank
+
     no_price = F.lit(None).cast(WIDE_PRICE)
-    blank = F.struct(no_price.alias("o"), no_price.alias("c"))
-    pair = F.struct("o", "c")
-    previous = {"previous_day": F.lag("date").over(series), "previous_pair": F.lag(pair).over(series)}
-
-    follows_on = F.col("previous_day") == F.date_sub("date", 1)
-    day_before = F.when(follows_on, F.col("previous_pair")).otherwise(blank)
-    changed = F.col("previous_day").isNull() | ~day_before.eqNullSafe(pair)
-    gap_opens = (F.col("gap_end") > F.col("date")) & ~pair.eqNullSafe(blank)
     own = F.struct(F.col("date").alias("d"), "o", "c")
     gap = F.struct(F.date_add("date", 1).alias("d"), no_price.alias("o"), no_price.alias("c"))
+    entries = (
+        F.when(changed & gap_opens, F.array(own, gap))
+        .when(changed, F.array(own))
+        .when(gap_opens, F.array(gap))
+    )
     return (
         _with_gap_end(days, as_of, keys, by, span)
         .withColumns(previous)
-        .withColumn("entry", F.explode(F.array_compact(F.array(F.when(changed, own), F.when(gap_opens, gap)))))
+        .withColumn("entry", F.explode(entries))
         .select(*keys, "entry.*")
     )
 
@@ -205,7 +214,7 @@ def _entries(d: str = "d", o: str | Column = "o", c: str | Column = "c") -> Colu
         (F.col(o) if isinstance(o, str) else o).alias("o"),
         (F.col(c) if isinstance(c, str) else c).alias("c"),
     )
-    return F.array_sort(F.collect_list(entry))
+    return F.sort_array(F.collect_list(entry))
 
 
 def price_history(

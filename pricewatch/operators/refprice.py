@@ -52,23 +52,27 @@ def _back_from(last: Column, days: int) -> Column:
     return F.sequence(F.date_sub(last, days - 1), last)
 
 
-def _series(keys: Sequence[str]):
-    """Item days in order, as day numbers: range frames need a numeric order, and one order means one sort."""
-    return Window.partitionBy(*keys).orderBy(F.unix_date("date"))
-
-
 def price_points(unified: DataFrame, as_of: Day, history_days: int, keys: Sequence[str] = ITEM) -> DataFrame:
     """Priced rows of the history window, with a mark on days where a claimed price first appears.
 
     The mark needs a previous row without a claim: an item's first row has none.
     """
+    return _numbered_points(unified, as_of, history_days, keys).drop("day_no")
+
+
+def _series(keys: Sequence[str]):
+    """Item days in order. Range frames need numbers, and one order column means one sort for all windows."""
+    return Window.partitionBy(*keys).orderBy("day_no")
+
+
+def _numbered_points(unified: DataFrame, as_of: Day, history_days: int, keys: Sequence[str]) -> DataFrame:
     series = _series(keys)
     had_no_claim = F.lag("date").over(series).isNotNull() & F.lag("originalPrice").over(series).isNull()
-    return unified.where(
-        (F.col("date") >= days_before(as_of, history_days)) & F.col("currentPrice").isNotNull()
-    ).select(
+    priced = (F.col("date") >= days_before(as_of, history_days)) & F.col("currentPrice").isNotNull()
+    return unified.where(priced).withColumn("day_no", F.unix_date("date")).select(
         *keys,
         "date",
+        "day_no",
         "currentPrice",
         "originalPrice",
         F.when(F.col("originalPrice").isNotNull() & had_no_claim, True).alias("first_day_origPrice"),
@@ -98,7 +102,7 @@ def price_runs(
     points_days = points_days or history_days
     series = _series(keys)
 
-    points = price_points(unified, as_of, points_days, keys)
+    points = _numbered_points(unified, as_of, points_days, keys)
     if by and not set(by) <= set(keys):
         raise ValueError("`by` columns must be part of `keys`")
     points = with_table_value(points, unified, F.max("date"), "last_day", by)
@@ -111,23 +115,35 @@ def price_runs(
             runs.where(F.col("run_end") >= start)
             .withColumn("real", F.col("date") >= start)
             .withColumn("date", F.greatest(F.col("date"), start))
+            .withColumn("day_no", F.unix_date("date"))
         )
     else:
         runs = runs.withColumn("real", F.lit(True))
 
-    before = F.lag("currentPrice").over(series)
+    # Prices in force on the 30 days before: points inside them, and the point
+    # that was running when they began.
+    frames = {
+        "before": F.lag("currentPrice").over(series),
+        "inside": F.min("currentPrice").over(series.rangeBetween(-LOOKBACK_DAYS, -1)),
+        "running": F.last("currentPrice").over(
+            series.rangeBetween(Window.unboundedPreceding, -LOOKBACK_DAYS)
+        ),
+    }
     trend = (
-        F.when(F.col("currentPrice") < before, "down")
-        .when(F.col("currentPrice") > before, "up")
-        .when(F.col("currentPrice") == before, "steady")
+        F.when(F.col("currentPrice") < F.col("before"), "down")
+        .when(F.col("currentPrice") > F.col("before"), "up")
+        .when(F.col("currentPrice") == F.col("before"), "steady")
         .otherwise("price_init")
     )
-    # Prices in force on the 30 days before: points inside them, and the point
-    # that was running when they began.
-    inside = F.min("currentPrice").over(series.rangeBetween(-LOOKBACK_DAYS, -1))
-    running = F.last("currentPrice").over(series.rangeBetween(Window.unboundedPreceding, -LOOKBACK_DAYS))
-    return runs.withColumns({"price_trend": trend, "min_30d": F.least(inside, running)}).select(
-        *keys, "date", "run_end", "currentPrice", "real", "first_day_origPrice", "price_trend", "min_30d"
+    return runs.withColumns(frames).select(
+        *keys,
+        "date",
+        "run_end",
+        "currentPrice",
+        "real",
+        "first_day_origPrice",
+        trend.alias("price_trend"),
+        F.least("inside", "running").alias("min_30d"),
     )
 
 

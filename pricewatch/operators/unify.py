@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.days import days_before, loaded_from, text_day_from
 from ..functions.frames import first_per_group, nulls_last
@@ -76,16 +76,14 @@ def unify(raw: DataFrame, min_scope: str = "scrape") -> DataFrame:
         offers = offers.drop("scraped")
     offers = _merge_copies(offers)
 
-    highest = F.max("own_original").alias("top_original")
-    lowest = F.min("own_price").alias("currentPrice")
-    if min_scope == "day":
-        group = ["itemId", "date"]
-        extremes = offers.groupBy(*group).agg(lowest, highest)
-    else:
-        group = ["itemId", "date", "scraped"]
-        by_scrape = offers.groupBy(*group).agg(lowest, highest)
-        by_day = by_scrape.groupBy("itemId", "date").agg(F.max("top_original").alias("top_original"))
-        extremes = by_scrape.drop("top_original").join(by_day, ["itemId", "date"])
+    group = ["itemId", "date"] if min_scope == "day" else ["itemId", "date", "scraped"]
+    extremes = offers.groupBy(*group).agg(
+        F.min("own_price").alias("currentPrice"), F.max("own_original").alias("top_original")
+    )
+    if min_scope == "scrape":
+        # One row per scrape time by now: at most the seconds of a day per partition.
+        per_day = Window.partitionBy("itemId", "date")
+        extremes = extremes.withColumn("top_original", F.max("top_original").over(per_day))
     rows = offers.join(extremes, group).withColumn(
         "originalPrice", null_if_not_above(F.col("top_original"), F.col("own_price"))
     )
