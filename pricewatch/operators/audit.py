@@ -103,13 +103,13 @@ def _audit_rows(complete: DataFrame, raw: DataFrame, settings: AuditSettings) ->
     )
 
 
-def _last_day(complete: DataFrame) -> Column:
+def last_day(complete: DataFrame) -> Column:
     return complete.agg(F.max("date")).scalar()
 
 
 def audit_snapshot(complete: DataFrame, raw: DataFrame, settings: AuditSettings = DEFAULT) -> DataFrame:
     """Rows of the last day, claimed discount recomputed (0 when there is none)."""
-    return _audit_rows(complete.where(F.col("date") == _last_day(complete)), raw, settings)
+    return _audit_rows(complete.where(F.col("date") == last_day(complete)), raw, settings)
 
 
 def audit_window(complete: DataFrame, raw: DataFrame, settings: AuditSettings = DEFAULT) -> DataFrame:
@@ -333,7 +333,7 @@ def count_raised(raised: DataFrame, settings: AuditSettings = DEFAULT) -> DataFr
 def audit_dashboard(complete: DataFrame, raw: DataFrame, settings: AuditSettings = DEFAULT) -> DataFrame:
     """The dashboard row of the last day; figures about discounts are NULL when nothing is discounted."""
     counts = snapshot_counts(audit_snapshot(complete, raw, settings), settings)
-    raised = raised_reference_price(audit_window(complete, raw, settings), _last_day(complete), settings)
+    raised = raised_reference_price(audit_window(complete, raw, settings), last_day(complete), settings)
     stamp = audit_stamp(raw).select("aktualizace").scalar()
     local = F.convert_timezone(F.lit("UTC"), F.lit(LOCAL_ZONE), F.to_timestamp_ntz(stamp, F.lit("yyyy-MM-dd HH:mm")))
     any_discount = F.col("Produktu_ve_sleve") != 0

@@ -17,7 +17,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.days import as_day
-from ..functions.frames import nulls_last, with_table_value
+from ..functions.frames import checked_broadcast, nulls_last, with_table_value
 from ..functions.prices import not_blank, plain_price_text, shop_domain
 
 ITEM = ("itemId",)
@@ -34,23 +34,30 @@ def second_latest_load(complete: DataFrame, by: Sequence[str] = ()) -> DataFrame
     return older.groupBy(*by).agg(F.max("_timestamp").alias("load_limit"))
 
 
-def _with_load_limit(rows: DataFrame, complete: DataFrame, by: Sequence[str]) -> DataFrame:
+def _load_limits(complete: DataFrame, by: Sequence[str]) -> DataFrame:
+    """`second_latest_load`, its size checked once when there is a row per group."""
     limits = second_latest_load(complete, by)
-    if not by:
-        return rows.withColumn("load_limit", limits.scalar())
-    return with_table_value(rows, limits, F.max("load_limit"), "load_limit", by)
+    return checked_broadcast(limits) if by else limits
+
+
+def _with_load_limit(rows: DataFrame, limits: DataFrame, by: Sequence[str]) -> DataFrame:
+    if by:
+        return rows.join(limits, list(by), "left")
+    return rows.withColumn("load_limit", limits.scalar())
 
 
 def items_changed_since(complete: DataFrame, keys: Sequence[str] = ITEM, by: Sequence[str] = ()) -> DataFrame:
     """Items that took part in one of the last two loads; the scan reads only those loads."""
-    rows = _with_load_limit(complete, complete, by).where(F.col("_timestamp") >= F.col("load_limit"))
-    return rows.select(*keys).distinct()
+    rows = _with_load_limit(complete, _load_limits(complete, by), by)
+    return rows.where(F.col("_timestamp") >= F.col("load_limit")).select(*keys).distinct()
 
 
-def _recent_span(complete: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+def _recent_span(
+    complete: DataFrame, limits: DataFrame, keys: Sequence[str], by: Sequence[str]
+) -> DataFrame:
     """Last day of each item of the last two loads."""
     items = complete.groupBy(*keys).agg(F.max("_timestamp").alias("last_load"), F.max("date").alias("date"))
-    return _with_load_limit(items, complete, by).where(F.col("last_load") >= F.col("load_limit"))
+    return _with_load_limit(items, limits, by).where(F.col("last_load") >= F.col("load_limit"))
 
 
 def recent_items_only(complete: DataFrame, keys: Sequence[str] = ITEM, by: Sequence[str] = ()) -> DataFrame:
@@ -72,7 +79,9 @@ def _days_with_load(complete: DataFrame, keys: Sequence[str]) -> DataFrame:
     return days.select(*keys, "date", "pair.*", "last_load")
 
 
-def _recent_days(complete: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+def _recent_days(
+    complete: DataFrame, limits: DataFrame, keys: Sequence[str], by: Sequence[str]
+) -> DataFrame:
     """Days of the items that took part in one of the last two loads.
 
     Days are reduced to one row each before the items are told apart, and the
@@ -82,7 +91,7 @@ def _recent_days(complete: DataFrame, keys: Sequence[str], by: Sequence[str]) ->
     item_load = F.max("last_load").over(Window.partitionBy(*keys))
     days = _days_with_load(complete, keys).withColumn("item_load", item_load)
     return (
-        _with_load_limit(days, complete, by)
+        _with_load_limit(days, limits, by)
         .where(F.col("item_load") >= F.col("load_limit"))
         .select(*keys, "date", "o", "c")
     )
@@ -175,6 +184,7 @@ def last_attributes(
     recent_only: bool = True,
     need_slug: bool = True,
     skip_slugs_like: str | None = None,
+    limits: DataFrame | None = None,
 ) -> DataFrame:
     """Newest slug, p_key and reference prices per item, and the shop's domain.
 
@@ -187,7 +197,8 @@ def last_attributes(
     if skip_slugs_like:
         rows = rows.where(~F.col("slug").ilike(skip_slugs_like))
     if recent_only:
-        rows = _with_load_limit(rows, complete, by).where(F.col("_timestamp") >= F.col("load_limit"))
+        limits = _load_limits(complete, by) if limits is None else limits
+        rows = _with_load_limit(rows, limits, by).where(F.col("_timestamp") >= F.col("load_limit"))
 
     def last_known(name: str) -> Column:
         return F.max_by(F.col(name), F.when(F.col(name).isNotNull(), F.struct("date", name)))
@@ -229,9 +240,10 @@ def price_history(
     Only items with a slug and a commonPrice get a history. `json` is an array
     of {d, o, c}; it becomes text at the sink.
     """
-    days = _recent_days(complete, keys, by)
-    changes = history_changes(days, as_of, keys, by, span=_recent_span(complete, keys, by))
-    attributes = last_attributes(complete, keys, by, skip_slugs_like=skip_slugs_like)
+    limits = _load_limits(complete, by)
+    days = _recent_days(complete, limits, keys, by)
+    changes = history_changes(days, as_of, keys, by, span=_recent_span(complete, limits, keys, by))
+    attributes = last_attributes(complete, keys, by, skip_slugs_like=skip_slugs_like, limits=limits)
     attributes = attributes.where(F.col("commonPrice").isNotNull() & not_blank("slug"))
     price = "decimal(12,2)"
     documents = changes.groupBy(*keys).agg(

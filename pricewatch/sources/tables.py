@@ -85,9 +85,21 @@ def read(spark: SparkSession, path: str, alias: str | None = None) -> DataFrame:
     return df
 
 
-def replace(df: DataFrame, path: str, loaded_at: datetime | Column | None = None) -> None:
-    """Full replace: a new version holds `df`, and nothing of the old one."""
-    _write_version(stamp(df, loaded_at), path)
+def replace(
+    df: DataFrame, path: str, loaded_at: datetime | Column | None = None, keys: Sequence[str] = ()
+) -> None:
+    """Full replace: a new version holds `df`, one row per key if keys are given, and nothing of the old one."""
+    _write_version(stamp(_one_per_key(df, keys) if keys else df, loaded_at), path)
+
+
+def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), keep_stamp: bool = False) -> DataFrame:
+    """First row per key by `order`, then by the remaining columns; the load time decides nothing."""
+    rest = [c for c in df.columns if c not in (*keys, "_timestamp")]
+    payload = [*rest, *(["_timestamp"] if keep_stamp and "_timestamp" in df.columns else [])]
+    if not payload:
+        return df.select(*keys).distinct()
+    rows = first_per_group(df, list(keys), [*order, *[F.col(c) for c in rest]], payload)
+    return rows.select(*[c for c in df.columns if c in rows.columns])
 
 
 def stamp(df: DataFrame, loaded_at: datetime | Column | None) -> DataFrame:
@@ -131,21 +143,20 @@ def upsert(
 
     Several new rows with one key collapse to the first by `order`, then by the
     remaining columns. Running it again with the same rows changes nothing but
-    the load time.
+    the load time. A partitioned table comes into being with its first row.
     """
     spark = incoming.sparkSession
     keys = list(keys)
     if partition_by and partition_by not in keys:
         raise ValueError("the partition column must be part of the key")
-    rest = [c for c in incoming.columns if c not in (*keys, "_timestamp")]
-    payload = [*rest, "_timestamp"] if keep_stamp else rest
-    rows = first_per_group(incoming, keys, [*order, *[F.col(c) for c in rest]], payload) if payload else incoming.select(*keys).distinct()
-    rows = rows.select(*[c for c in incoming.columns if c in rows.columns])
+    rows = _one_per_key(incoming, keys, order, keep_stamp)
     staged = f"{scratch_dir(spark)}/incoming"
     (rows if keep_stamp else stamp(rows, loaded_at)).write.parquet(staged)
     new = spark.read.parquet(staged)
 
     if partition_by:
+        if new.isEmpty():
+            return
         _upsert_partitions(spark, new, path, keys, partition_by)
     elif table_exists(spark, path):
         old = read(spark, path)
@@ -186,6 +197,7 @@ def snapshot_and_history(
     history_path: str,
     keys: Sequence[str],
     loaded_at: datetime | Column | None = None,
+    partition_by: str | None = None,
 ) -> None:
     """One result to two tables: the current one is replaced, the history gets an upsert.
 
@@ -193,4 +205,5 @@ def snapshot_and_history(
     runs once.
     """
     replace(df, current_path, loaded_at)
-    upsert(read(df.sparkSession, current_path), history_path, keys, keep_stamp=True)
+    stored = read(df.sparkSession, current_path)
+    upsert(stored, history_path, keys, partition_by=partition_by, keep_stamp=True)
