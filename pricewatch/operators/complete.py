@@ -35,13 +35,20 @@ def complete(
 
     `scope` is 'latest' for the newest load or a number of days of load time
     before `as_of`. Extra columns of `unified` pass through.
+
+    Reference prices are read only for the span of days the rows have: with a
+    table partitioned by date that prunes all older partitions.
     """
     rows = (
         latest_batch(unified, by)
         if scope == "latest"
         else unified.where(loaded_from(days_before(as_of, int(scope))))
     )
-    joined = rows.join(reference.select(*keys, "date", "commonPrice", "minPrice"), [*keys, "date"], "left")
+    first, last = (rows.agg(edge("date")).scalar() for edge in (F.min, F.max))
+    prices = reference.where(F.col("date").between(first, last)).select(
+        *keys, "date", "commonPrice", "minPrice"
+    )
+    joined = rows.join(prices, [*keys, "date"], "left")
     base = F.coalesce("minPrice", "commonPrice")
     return joined.select(
         *unified.columns,
@@ -65,9 +72,12 @@ def suspicious_prices(
     The window of days counts back from the newest load time, and prices are
     compared as whole numbers.
     """
-    since = F.max("_timestamp") - F.make_dt_interval(F.lit(days))
-    recent = with_table_value(unified, unified, since, "since", by).where(
-        F.col("date").cast("timestamp_ntz") >= F.col("since")
+    # A day counts when its midnight is not before the limit: the first such day
+    # as a date, so that the filter on the bare column reaches the scan.
+    just_before = F.max("_timestamp") - F.make_dt_interval(F.lit(days), F.lit(0), F.lit(0), F.lit(0.000001))
+    first_day = F.date_add(just_before.cast("date"), 1)
+    recent = with_table_value(unified, unified, first_day, "first_day", by).where(
+        F.col("date") >= F.col("first_day")
     )
     before = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     price = whole_number(F.col("currentPrice"))

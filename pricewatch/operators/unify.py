@@ -55,7 +55,6 @@ def unify(raw: DataFrame, min_scope: str = "scrape") -> DataFrame:
         raw.where(not_blank("currentPrice") & not_blank("date") & not_blank("itemId"))
         .select(
             "shop",
-            F.md5(F.concat("shop", "itemId")).alias("p_key"),
             "itemId",
             "itemName",
             "itemUrl",
@@ -87,7 +86,13 @@ def unify(raw: DataFrame, min_scope: str = "scrape") -> DataFrame:
     rows = offers.join(extremes, group).withColumn(
         "originalPrice", null_if_not_above(F.col("top_original"), F.col("own_price"))
     )
-    return _merge_copies(rows.select(*UNIFIED, "_timestamp"))
+    columns = [c for c in UNIFIED if c != "p_key"]
+    return _with_key(_merge_copies(rows.select(*columns, "_timestamp")))
+
+
+def _with_key(rows: DataFrame) -> DataFrame:
+    """Add `p_key`, the hash of shop and item. Last of all, so that no shuffle carries it."""
+    return rows.withColumn("p_key", F.md5(F.concat("shop", "itemId"))).select(*UNIFIED, "_timestamp")
 
 
 def _merge_copies(rows: DataFrame) -> DataFrame:
@@ -166,8 +171,5 @@ def merge_feeds(main: DataFrame, second: DataFrame) -> DataFrame:
         *[main_first(c) for c in ("itemImage", "date", "inStock")],
         F.greatest(F.col("m._timestamp"), F.col("s._timestamp")).alias("_timestamp"),
     )
-    return (
-        merged.withColumn("p_key", F.md5(F.concat("shop", "itemId")))
-        .withColumn("officialSale", percent_off(F.col("currentPrice"), F.col("originalPrice")))
-        .select(*UNIFIED, "_timestamp")
-    )
+    sale = percent_off(F.col("currentPrice"), F.col("originalPrice"))
+    return _with_key(merged.withColumn("officialSale", sale))

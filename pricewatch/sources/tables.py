@@ -72,8 +72,20 @@ def _move_pointer(spark: SparkSession, path: str, version: str) -> None:
     context.rename(draft, target, options)
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, folder = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return _read_pointer(spark, path) is not None or path_exists(spark, f"{path}/_SUCCESS")
+    """True for a table with a published version, or with partitions or files of its own.
+
+    A dynamic overwrite leaves no success marker in the table, so the content
+    decides; a version without a pointer was never published and does not count.
+    """
+    if _read_pointer(spark, path) is not None:
+        return True
+    return any(not name.startswith(("_", ".", "v-")) for name in _names(spark, path))
 
 
 def read(spark: SparkSession, path: str, alias: str | None = None) -> DataFrame:
@@ -116,6 +128,23 @@ def _write_version(df: DataFrame, path: str) -> None:
     _move_pointer(df.sparkSession, path, version)
 
 
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Delete all but the newest `keep` versions of an unpartitioned table; readers may hold the others."""
+    current = _read_pointer(spark, path)
+    if current is None:
+        return 0
+    names = sorted((n for n in _names(spark, path) if n.startswith("v-")), reverse=True)
+    old = [n for n in names[max(keep, 1):] if n != current]
+    for name in old:
+        _delete(spark, f"{path}/{name}")
+    return len(old)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+
+
 def create_if_absent(spark: SparkSession, path: str, template_csv: str, schema: str | None = None) -> bool:
     """Create the table from a CSV template with a header line; leave an existing one alone.
 
@@ -150,19 +179,17 @@ def upsert(
     if partition_by and partition_by not in keys:
         raise ValueError("the partition column must be part of the key")
     rows = _one_per_key(incoming, keys, order, keep_stamp)
-    staged = f"{scratch_dir(spark)}/incoming"
+    scratch = scratch_dir(spark)
+    staged = f"{scratch}/incoming"
     (rows if keep_stamp else stamp(rows, loaded_at)).write.parquet(staged)
     new = spark.read.parquet(staged)
 
-    if partition_by:
-        if new.isEmpty():
-            return
+    if not partition_by:
+        old = read(spark, path) if table_exists(spark, path) else None
+        _write_version(new if old is None else _merged(old, new, keys), path)
+    elif not new.isEmpty():
         _upsert_partitions(spark, new, path, keys, partition_by)
-    elif table_exists(spark, path):
-        old = read(spark, path)
-        _write_version(_merged(old, new, keys), path)
-    else:
-        _write_version(new, path)
+    _delete(spark, scratch)
 
 
 def _merged(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -64,6 +64,19 @@ def test_scans_read_only_the_columns_in_use(stored):
     assert set(re.findall(r"(\w+):", schema)) == {"itemId", "date", "currentPrice", "originalPrice"}
 
 
+def test_reference_prices_of_other_days_are_not_read(spark, stored):
+    path = tables.scratch_dir(spark)
+    registered.reference(spark, SF).write.partitionBy("date").parquet(path)
+    df = complete.complete(stored[0], spark.read.parquet(path))
+    scan = [line for line in plan(df).splitlines() if "PartitionFilters: [isnotnull(date" in line]
+    assert scan and all("Subquery" in line for line in scan)
+    assert df.where("commonPrice is not null").count() > 0
+
+
+def test_jump_check_filters_by_date_in_the_scan(stored):
+    assert "GreaterThanOrEqual(date,ScalarSubquery" in plan(complete.suspicious_prices(stored[0]))
+
+
 def test_gap_filling_needs_no_join(stored):
     runs = refprice.price_runs(stored[0], AS_OF)
     days = history.dedupe_days(stored[1])

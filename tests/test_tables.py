@@ -51,6 +51,15 @@ def test_an_open_reader_keeps_its_version(spark, path):
     assert content(tables.read(spark, path)) == {"a": 2}
 
 
+def test_old_versions_go_on_request(spark, path):
+    for v in range(4):
+        tables.upsert(rows(spark, [("a", v)]), path, ["k"])
+    assert tables.drop_old_versions(spark, path) == 2
+    assert tables.drop_old_versions(spark, path) == 0
+    assert content(tables.read(spark, path)) == {"a": 3}
+    assert len([f for f in os.listdir(path) if f.startswith("v-")]) == 2
+
+
 def files_below(path, partition):
     folder = f"{path}/d={partition}"
     return {f: os.path.getmtime(f"{folder}/{f}") for f in os.listdir(folder) if f.endswith(".parquet")}
