@@ -404,7 +404,7 @@ def _parts() -> dict[str, str]:
         "first_load": "select uni.* from uni, today where date <= t - 10",
         "second_load": """
         select uni.* replace (cast("currentPrice" - 10 as decimal(12,2)) as "currentPrice")
-        from uni, today where date >= t - 15""",
+        from uni, today where date >= t - 15 and "originalPrice" is not null""",
         "upserted": """
         select * from second_load
         union all

@@ -406,12 +406,17 @@ def create_if_absent(spark, sf):
 
 
 def _two_loads(spark, sf):
-    """A first load up to ten days before the end, and a second, ten cheaper, of the last 15 days."""
+    """A first load up to ten days before the end; a second, ten cheaper, of the claimed prices of the last 15.
+
+    They overlap in part, and days of both hold rows that only the first has.
+    """
     rows = unified(spark, sf)
     as_of = today(spark, sf)
     first = rows.where(F.col("date") <= days_before(as_of, 10))
     cheaper = (F.col("currentPrice") - 10).cast("decimal(12,2)")
-    second = rows.where(F.col("date") >= days_before(as_of, 15)).withColumn("currentPrice", cheaper)
+    second = rows.where(
+        (F.col("date") >= days_before(as_of, 15)) & F.col("originalPrice").isNotNull()
+    ).withColumn("currentPrice", cheaper)
     return first, second
 
 
