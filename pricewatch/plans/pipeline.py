@@ -6,15 +6,15 @@ run can start again at any stage, and nothing is computed twice.
 
 Tables below `root`:
 
-    01_unification      (item, date)         partitioned by date
+    unified             (item, date)         partitioned by date
     item_count_check    (shopOrigin, date)   partitioned by date
-    02_refprices        (item, date)         partitioned by date
-    03_complete         (item, date)         partitioned by date
+    reference_prices    (item, date)         partitioned by date
+    complete            (item, date)         partitioned by date
     suspicious_prices   (item, date, shop)   partitioned by date
-    04_extension        (item)
-    05_final_s3         (item)
-    s3_metadata, s3_pricehistory             replaced, one row per (shop_id, slug)
-    dashboard, false_discounts, incr_origPrice    replaced, each with a _history table
+    metadata            (item)
+    price_history       (item)
+    published_metadata, published_pricehistory     replaced, one row per (shop_id, slug)
+    dashboard, false_discounts, raised_prices      replaced, each with a _history table
 
 "item" is `keys`: itemId, with the slug or the shop in front where a table
 holds several of them.
@@ -75,65 +75,65 @@ class Pipeline:
     def _upsert(self, df: DataFrame, name: str, keys: Sequence[str], partition_by: str | None = None) -> None:
         tables.upsert(df, self.path(name), keys, partition_by=partition_by, loaded_at=self.loaded_at)
 
-    def unification(self, raw: DataFrame) -> None:
+    def unify(self, raw: DataFrame) -> None:
         s = self.settings
         recent = unify.recent(raw, self.as_of, s.days_back)
         rows = unify.one_per_day(unify.unify(recent, s.min_scope), self.keys)
-        self._upsert(rows, "01_unification", [*self.keys, "date"], "date")
+        self._upsert(rows, "unified", [*self.keys, "date"], "date")
         check = unify.item_count_check(recent, raw)
         self._upsert(check, "item_count_check", ["shopOrigin", "date"], "date")
 
-    def refprices(self) -> None:
+    def reference_prices(self) -> None:
         s = self.settings
         rows = refprice.ref_prices(
-            self.table("01_unification"),
+            self.table("unified"),
             self.as_of,
             s.discount_valid_days,
             s.common_price_days,
             keys=self.keys,
             by=s.by,
         )
-        self._upsert(rows, "02_refprices", [*self.keys, "date"], "date")
+        self._upsert(rows, "reference_prices", [*self.keys, "date"], "date")
 
     def complete(self) -> None:
         by = self.settings.by
-        unified = self.table("01_unification")
-        rows = complete.complete(unified, self.table("02_refprices"), keys=self.keys, by=by)
-        self._upsert(rows, "03_complete", [*self.keys, "date"], "date")
+        unified = self.table("unified")
+        rows = complete.complete(unified, self.table("reference_prices"), keys=self.keys, by=by)
+        self._upsert(rows, "complete", [*self.keys, "date"], "date")
         jumps = complete.suspicious_prices(unified, keys=self.keys, by=by)
         item_day_shop = [*dict.fromkeys([*self.keys, "date", "shop"])]
         self._upsert(jumps, "suspicious_prices", item_day_shop, "date")
 
-    def extension(self) -> None:
+    def metadata(self) -> None:
         rows = metadata.latest_metadata(
-            self.table("03_complete"), self.as_of, self.settings.days_back, self.keys
+            self.table("complete"), self.as_of, self.settings.days_back, self.keys
         )
-        self._upsert(rows, "04_extension", self.keys)
+        self._upsert(rows, "metadata", self.keys)
 
-    def pricehistory(self) -> None:
-        rows = history.price_history(self.table("03_complete"), self.as_of, self.keys, self.settings.by)
-        self._upsert(rows, "05_final_s3", self.keys)
+    def price_history(self) -> None:
+        rows = history.price_history(self.table("complete"), self.as_of, self.keys, self.settings.by)
+        self._upsert(rows, "price_history", self.keys)
 
     def publish(self, documents_path: str | None = None) -> None:
         days = self.settings.days_back
-        meta = publish.publish_metadata(self.table("04_extension"), self.as_of, days)
-        prices = publish.publish_history(self.table("05_final_s3"), self.as_of, days)
+        meta = publish.publish_metadata(self.table("metadata"), self.as_of, days)
+        prices = publish.publish_history(self.table("price_history"), self.as_of, days)
         for name, rows in (("metadata", meta), ("pricehistory", prices)):
-            tables.replace(rows, self.path(f"s3_{name}"), self.loaded_at, ["shop_id", "slug"])
+            tables.replace(rows, self.path(f"published_{name}"), self.loaded_at, ["shop_id", "slug"])
             if documents_path:
-                stored = self.table(f"s3_{name}").drop("_timestamp")
+                stored = self.table(f"published_{name}").drop("_timestamp")
                 documents.write_documents(stored, documents_path, name)
 
     def audit(self, raw: DataFrame) -> None:
         s = self.settings.audit
-        rows = self.table("03_complete")
+        rows = self.table("complete")
         snapshot = audit.audit_snapshot(rows, raw, s)
         last_day = audit.last_day(rows)
         raised = audit.raised_reference_price(audit.audit_window(rows, raw, s), last_day, s)
         for name, result, keys, partition_by in (
             ("dashboard", audit.audit_dashboard(rows, raw, s), ["Aktualizace"], None),
             ("false_discounts", audit.false_discounts(snapshot, s), [*s.keys, "datum"], "datum"),
-            ("incr_origPrice", raised, [*s.keys, "datum_zmeny_refCeny"], "datum_zmeny_refCeny"),
+            ("raised_prices", raised, [*s.keys, "datum_zmeny_refCeny"], "datum_zmeny_refCeny"),
         ):
             tables.snapshot_and_history(
                 result, self.path(name), self.path(f"{name}_history"), keys, self.loaded_at, partition_by
@@ -141,10 +141,10 @@ class Pipeline:
 
     def run(self, raw: DataFrame, documents_path: str | None = None) -> None:
         """All stages in order."""
-        self.unification(raw)
-        self.refprices()
+        self.unify(raw)
+        self.reference_prices()
         self.complete()
-        self.extension()
-        self.pricehistory()
+        self.metadata()
+        self.price_history()
         self.publish(documents_path)
         self.audit(raw)

@@ -4,7 +4,9 @@ Two layouts, both without a table format on top:
 
 * partitioned by a key column (a date): an upsert rewrites only the partitions
   that the new rows touch, through dynamic partition overwrite. A daily load
-  into years of history costs the touched days, not the table.
+  into years of history costs the touched days, not the table. The merged rows
+  are written aside first: if the driver is lost while partitions are being
+  swapped, the next upsert finds them and swaps again.
 * unpartitioned, for small keyed tables: each upsert writes a new version
   directory, then moves the pointer file. Readers keep the version they opened.
 
@@ -24,6 +26,7 @@ from ..functions.frames import first_per_group
 
 MAX_LISTED_PARTITIONS = 10_000
 _POINTER = "_current"
+_PENDING = "_pending"
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -198,6 +201,7 @@ def _merged(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _upsert_partitions(spark: SparkSession, new: DataFrame, path: str, keys: list[str], column: str) -> None:
+    _swap_pending(spark, path, column)
     merged = new
     if table_exists(spark, path):
         old = spark.read.parquet(path)
@@ -208,14 +212,24 @@ def _upsert_partitions(spark: SparkSession, new: DataFrame, path: str, keys: lis
         else:
             old = old.join(touched, column, "left_semi")
         merged = _merged(old, new, keys)
-    # Rebalance splits a hot partition value over several files and packs small ones.
-    (
-        merged.hint("rebalance", column)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
+    merged.write.parquet(f"{path}/{_PENDING}")
+    _swap_pending(spark, path, column)
+
+
+def _swap_pending(spark: SparkSession, path: str, column: str) -> None:
+    """Put merged rows that were completely written aside in place of their partitions."""
+    pending = f"{path}/{_PENDING}"
+    if path_exists(spark, f"{pending}/_SUCCESS"):
+        # Rebalance splits a hot partition value over several files and packs small ones.
+        (
+            spark.read.parquet(pending)
+            .hint("rebalance", column)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(column)
+            .parquet(path)
+        )
+    _delete(spark, pending)
 
 
 def snapshot_and_history(

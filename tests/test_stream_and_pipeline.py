@@ -70,13 +70,13 @@ def run_days(spark, root, settings, days, shops=("alfa_cz",)):
 def test_daily_runs(spark, tmp_path):
     root = str(tmp_path)
     pipe = run_days(spark, root, Settings(discount_valid_days=30, common_price_days=30), 9)
-    assert pipe.table("01_unification").count() == 18
+    assert pipe.table("unified").count() == 18
     refs = {
         r["itemId"]: (r["commonPrice"], r["minPrice"])
-        for r in pipe.table("02_refprices").where("date = date'2024-03-09'").collect()
+        for r in pipe.table("reference_prices").where("date = date'2024-03-09'").collect()
     }
     assert refs == {"a": (price(100), None), "b": (price(200), price(200))}
-    last = {r["itemId"]: r for r in pipe.table("03_complete").where("date = date'2024-03-09'").collect()}
+    last = {r["itemId"]: r for r in pipe.table("complete").where("date = date'2024-03-09'").collect()}
     assert last["a"]["newSale"] == price(0) and last["b"]["newSale"] == price(25)
     (board,) = pipe.table("dashboard").collect()
     assert board["Produktu_celkem"] == 2 and board["Produktu_ve_sleve"] == 1
@@ -87,7 +87,7 @@ def test_daily_runs(spark, tmp_path):
     assert pipe.table("false_discounts_history").count() == 2
     docs = documents.read_documents(spark, f"{root}/published", "pricehistory").collect()
     assert {d["slug"] for d in docs} == {"p-a", "p-b"}
-    entries = {r["itemId"]: len(r["json"]) for r in pipe.table("05_final_s3").collect()}
+    entries = {r["itemId"]: len(r["json"]) for r in pipe.table("price_history").collect()}
     assert entries == {"a": 2, "b": 2}
 
 
@@ -98,9 +98,9 @@ def test_several_shops_in_one_table(spark, tmp_path):
     )
     root = str(tmp_path)
     pipe = run_days(spark, root, settings, 7, ("alfa_cz", "beta_sk"))
-    assert pipe.table("02_refprices").where("date = date'2024-03-07'").count() == 3
-    got = {(r["shop"], r["itemId"], r["shop_id"]) for r in pipe.table("05_final_s3").collect()}
+    assert pipe.table("reference_prices").where("date = date'2024-03-07'").count() == 4
+    got = {(r["shop"], r["itemId"], r["shop_id"]) for r in pipe.table("price_history").collect()}
     assert got == {
         ("alfa_cz", "a", "alfa.cz"), ("alfa_cz", "b", "alfa.cz"), ("beta_sk", "a", "beta.sk"), ("beta_sk", "b", "beta.sk"),
     }
-    assert pipe.table("s3_metadata").count() == 3
+    assert pipe.table("published_metadata").count() == 4

@@ -1,5 +1,6 @@
 import datetime
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,31 @@ def test_partitioned_upsert_rewrites_touched_partitions_only(spark, path):
     assert files_below(path, "2024-01-01") == untouched
 
 
+def test_a_swap_cut_short_is_done_again(spark, path):
+    schema = "k string, d date, v int"
+    tables.upsert(
+        rows(spark, [("a", day("2024-01-01"), 1), ("a", day("2024-01-02"), 2)], schema), path, ["k", "d"], partition_by="d"
+    )
+    merged = [("a", day("2024-01-02"), 2), ("b", day("2024-01-02"), 3)]
+    tables.stamp(rows(spark, merged, schema), None).write.parquet(f"{path}/_pending")
+    shutil.rmtree(f"{path}/d=2024-01-02")  # the old partition is gone, the new one not there yet
+    later = rows(spark, [("c", day("2024-01-03"), 4)], schema)
+    tables.upsert(later, path, ["k", "d"], partition_by="d")
+    got = {(r["k"], str(r["d"])): r["v"] for r in tables.read(spark, path).collect()}
+    assert got == {("a", "2024-01-01"): 1, ("a", "2024-01-02"): 2, ("b", "2024-01-02"): 3, ("c", "2024-01-03"): 4}
+    assert not os.path.exists(f"{path}/_pending")
+
+
+def test_rows_aside_without_a_success_marker_are_dropped(spark, path):
+    schema = "k string, d date, v int"
+    load = rows(spark, [("a", day("2024-01-01"), 1)], schema)
+    tables.upsert(load, path, ["k", "d"], partition_by="d")
+    tables.stamp(rows(spark, [("a", day("2024-01-01"), 7)], schema), None).write.parquet(f"{path}/_pending")
+    os.remove(f"{path}/_pending/_SUCCESS")
+    tables.upsert(rows(spark, [("b", day("2024-01-01"), 2)], schema), path, ["k", "d"], partition_by="d")
+    assert content(tables.read(spark, path)) == {"a": 1, "b": 2}
+
+
 def test_partitioned_upsert_beyond_the_listing_limit(spark, path, monkeypatch):
     monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", 1)
     schema = "k string, d date, v int"
