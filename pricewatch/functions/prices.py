@@ -17,10 +17,6 @@ def not_blank(name: str) -> Column:
     return F.col(name).isNotNull() & (F.col(name) != "")
 
 
-def blank_to_null(name: str) -> Column:
-    return F.nullif(F.col(name), F.lit(""))
-
-
 def try_price(name: str, precision: int = 12) -> Column:
     """Price text to decimal(precision, 2); unreadable text gives NULL."""
     return F.col(name).try_cast(f"decimal({precision},2)")

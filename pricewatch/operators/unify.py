@@ -37,13 +37,14 @@ def recent(raw: DataFrame, as_of: date | Column | None, days_back: int, day_colu
     return raw.where(text_day_from(start, day_column))
 
 
-def unify(raw: DataFrame, min_scope: str = "scrape") -> DataFrame:
+def unify(raw: DataFrame, min_scope: str = "scrape", by: Sequence[str] = ()) -> DataFrame:
     """Typed offers with the lowest selling and the highest claimed price of their group.
 
     `min_scope` sets the group of the lowest price: 'scrape' takes rows with
     the same scrape time, 'day' takes the whole calendar day. The highest
     claimed price always goes by day, and is dropped when it is not above the
     row's own selling price. Copies merge; `_timestamp` is the latest load.
+    `by` keeps shops apart that use the same item ids.
 
     The group extremes come from partial aggregates that are joined back, not
     from windows: one item may hold a large part of all offers, and AQE can
@@ -75,14 +76,15 @@ def unify(raw: DataFrame, min_scope: str = "scrape") -> DataFrame:
         offers = offers.drop("scraped")
     offers = _merge_copies(offers)
 
-    group = ["itemId", "date"] if min_scope == "day" else ["itemId", "date", "scraped"]
+    day_group = [*by, "itemId", "date"]
+    group = day_group if min_scope == "day" else [*day_group, "scraped"]
     extremes = offers.groupBy(*group).agg(
         F.min("own_price").alias("currentPrice"), F.max("own_original").alias("top_original")
     )
     if min_scope == "scrape":
         # One row per scrape time by now: at most the seconds of a day per partition.
-        per_day = Window.partitionBy("itemId", "date")
-        extremes = extremes.withColumn("top_original", F.max("top_original").over(per_day))
+        top = F.max("top_original").over(Window.partitionBy(*day_group))
+        extremes = extremes.withColumn("top_original", top)
     rows = offers.join(extremes, group).withColumn(
         "originalPrice", null_if_not_above(F.col("top_original"), F.col("own_price"))
     )
@@ -116,24 +118,27 @@ def one_per_day(unified: DataFrame, keys: Sequence[str] = ("itemId",)) -> DataFr
     return first_per_group(unified, [*keys, "date"], order, columns).select(*unified.columns)
 
 
-def item_count_check(recent_rows: DataFrame, raw: DataFrame) -> DataFrame:
+def item_count_check(recent_rows: DataFrame, raw: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per day: items with a price and items with a claimed price, repeated for each recent origin.
 
     Days are counted once, over all raw rows, before they meet the origins: a
     first aggregate by (day, item) carries the claim flag, so no row is doubled
     for two distinct counts. The day counts travel as one array, which is
-    bounded by the number of calendar days.
+    bounded by the number of calendar days. `by` counts each shop's own rows
+    for its own origins.
     """
     per_item = (
         raw.where(not_blank("currentPrice"))
-        .groupBy(F.to_date("date").alias("date"), "itemId")
+        .groupBy(*by, F.to_date("date").alias("date"), "itemId")
         .agg(F.max(not_blank("originalPrice")).alias("claimed"))
     )
     claims = F.count(F.when(F.col("claimed"), F.col("itemId")))
-    per_day = per_item.groupBy("date").agg(
+    per_day = per_item.groupBy(*by, "date").agg(
         F.count("itemId").alias("count_itemId_with_curPrice"),
         claims.alias("count_itemId_with_origPrice"),
     )
+    if by:
+        return recent_rows.select(*by, "shopOrigin").distinct().join(per_day, list(by)).drop(*by)
     days = per_day.agg(F.collect_list(F.struct(*per_day.columns)).alias("days")).scalar()
     return (
         recent_rows.select("shopOrigin").distinct()
@@ -142,18 +147,15 @@ def item_count_check(recent_rows: DataFrame, raw: DataFrame) -> DataFrame:
     )
 
 
-def merge_feeds(main: DataFrame, second: DataFrame) -> DataFrame:
-    """Two unified feeds, one row per (item, day) each, merged into one.
+def merge_feeds(main: DataFrame, second: DataFrame, keys: Sequence[str] = ("itemId",)) -> DataFrame:
+    """Two unified feeds, one row per key and day each, merged into one.
 
     The lower selling price wins; the claimed price prefers the second feed,
     every other attribute the main one. Key and claimed discount are recomputed.
     """
     m, s = main.alias("m"), second.alias("s")
-    both = m.join(
-        s,
-        (F.col("m.itemId") == F.col("s.itemId")) & (F.col("m.date") == F.col("s.date")),
-        "full",
-    )
+    same = [F.col(f"m.{k}") == F.col(f"s.{k}") for k in (*keys, "date")]
+    both = m.join(s, same, "full")
 
     def main_first(name: str) -> Column:
         return F.coalesce(F.col(f"m.{name}"), F.col(f"s.{name}")).alias(name)

@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.days import local_today
 from ..functions.frames import tune
@@ -36,7 +36,11 @@ from ..sources import documents, tables
 
 @dataclass(frozen=True)
 class Settings:
-    """Parameters of the stages; `by` names the shop column when one table holds several shops."""
+    """Parameters of the stages.
+
+    `by=("shop",)` says that the tables hold several shops; `shops` then lists
+    those to audit, each into tables of its own, as a dashboard is about one shop.
+    """
 
     days_back: int = 2
     discount_valid_days: int = 90
@@ -44,6 +48,7 @@ class Settings:
     min_scope: str = "day"
     keys: Sequence[str] = ("itemId",)
     by: Sequence[str] = ()
+    shops: Sequence[str] = ()
     audit: audit.AuditSettings = field(default_factory=audit.AuditSettings)
 
 
@@ -58,6 +63,8 @@ class Pipeline:
         as_of: date | None = None,
         loaded_at: datetime | None = None,
     ) -> None:
+        if settings.by and not settings.shops:
+            raise ValueError("list the shops to audit")
         tune(spark)
         self.spark = spark
         self.root = root.rstrip("/")
@@ -78,9 +85,9 @@ class Pipeline:
     def unify(self, raw: DataFrame) -> None:
         s = self.settings
         recent = unify.recent(raw, self.as_of, s.days_back)
-        rows = unify.one_per_day(unify.unify(recent, s.min_scope), self.keys)
+        rows = unify.one_per_day(unify.unify(recent, s.min_scope, s.by), self.keys)
         self._upsert(rows, "unified", [*self.keys, "date"], "date")
-        check = unify.item_count_check(recent, raw)
+        check = unify.item_count_check(recent, raw, s.by)
         self._upsert(check, "item_count_check", ["shopOrigin", "date"], "date")
 
     def reference_prices(self) -> None:
@@ -125,8 +132,15 @@ class Pipeline:
                 documents.write_documents(stored, documents_path, name)
 
     def audit(self, raw: DataFrame) -> None:
-        s = self.settings.audit
         rows = self.table("complete")
+        if not self.settings.by:
+            return self._audit(rows, raw, "")
+        for shop in self.settings.shops:
+            own = F.col("shop") == shop
+            self._audit(rows.where(own), raw.where(own), f"{shop}/")
+
+    def _audit(self, rows: DataFrame, raw: DataFrame, folder: str) -> None:
+        s = self.settings.audit
         snapshot = audit.audit_snapshot(rows, raw, s)
         last_day = audit.last_day(rows)
         raised = audit.raised_reference_price(audit.audit_window(rows, raw, s), last_day, s)
@@ -135,8 +149,9 @@ class Pipeline:
             ("false_discounts", audit.false_discounts(snapshot, s), [*s.keys, "datum"], "datum"),
             ("raised_prices", raised, [*s.keys, "datum_zmeny_refCeny"], "datum_zmeny_refCeny"),
         ):
+            path = self.path(folder + name)
             tables.snapshot_and_history(
-                result, self.path(name), self.path(f"{name}_history"), keys, self.loaded_at, partition_by
+                result, path, f"{path}_history", keys, self.loaded_at, partition_by
             )
 
     def run(self, raw: DataFrame, documents_path: str | None = None) -> None:

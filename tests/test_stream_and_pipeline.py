@@ -40,10 +40,10 @@ def test_stream_equals_batch_with_late_and_split_rows(spark, tmp_path):
 def daily_feed(spark, on, shops=("alfa_cz",)):
     """Item a goes on a false discount on the 8th: its price stays while its claim goes up."""
     rows = []
-    for shop in shops:
+    for n, shop in enumerate(shops):
         for item, level in (("a", 100), ("b", 200)):
             claim = "150" if item == "a" and on >= day("2024-03-08") else ""
-            current = level - (50 if item == "b" and on >= day("2024-03-07") else 0)
+            current = level + 7 * n - (50 if item == "b" and on >= day("2024-03-07") else 0)
             rows.append(
                 offer(
                     item, str(current), claim, f"{on} 09:00:00", shop=shop, shopOrigin=shop, slug=f"p-{item}",
@@ -94,7 +94,7 @@ def test_daily_runs(spark, tmp_path):
 def test_several_shops_in_one_table(spark, tmp_path):
     settings = Settings(
         discount_valid_days=30, common_price_days=30, keys=("shop", "itemId"), by=("shop",),
-        audit=audit.AuditSettings(keys=("itemId",)),
+        shops=("alfa_cz", "beta_sk"), audit=audit.AuditSettings(keys=("itemId",)),
     )
     root = str(tmp_path)
     pipe = run_days(spark, root, settings, 7, ("alfa_cz", "beta_sk"))
@@ -104,3 +104,8 @@ def test_several_shops_in_one_table(spark, tmp_path):
         ("alfa_cz", "a", "alfa.cz"), ("alfa_cz", "b", "alfa.cz"), ("beta_sk", "a", "beta.sk"), ("beta_sk", "b", "beta.sk"),
     }
     assert pipe.table("published_metadata").count() == 4
+    prices = {(r["shop"], r["itemId"]): r["commonPrice"] for r in pipe.table("reference_prices").collect()}
+    assert prices["alfa_cz", "a"] == price(100) and prices["beta_sk", "a"] == price(107)
+    counts = {(r["shopOrigin"], r["count_itemId_with_curPrice"]) for r in pipe.table("item_count_check").collect()}
+    assert counts == {("alfa_cz", 2), ("beta_sk", 2)}
+    assert [r["Shop"] for r in pipe.table("beta_sk/dashboard").collect()] == ["beta_sk"]
