@@ -12,7 +12,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents whose compression score is at least a half."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit_on_sample(docs, labels, "quality", F.pmod(crc(F.col("_id")), F.lit(3)) != 1)
-    return quality.score_texts(docs, model).where("predicted = 1").select(*docs.columns)
+    scored = quality.score_texts(docs, model, score="_quality", predicted="_accepted")
+    return scored.where("_accepted = 1").select(*docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,8 +83,8 @@ def fit(texts: list[bytes], target: np.ndarray, share: float = 0.5, seed: int =
     return Model(good, bad, tuple(logistic(evidence(seen, usual), target[rest], share).tolist()), usual)
 
 
-def score_texts(docs: DataFrame, model: Model, doc_id: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` with a score and predicted label; columns of these names are replaced."""
+def score_texts(docs: DataFrame, model: Model, text_col: str = "text", score: str = "score", predicted: str = "predicted") -> DataFrame:
+    """The rows of `docs` with a score and predicted label; columns of the two names are replaced."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # two dictionaries of a fixed size
@@ -96,8 +96,8 @@ def score_texts(docs: DataFrame, model: Model, doc_id: str = "doc_id", text_col:
         found = evidence(np.array([sizes(t, *pair) for t in texts]), m.usual)
         return type(texts)(sigmoid(found @ m.weights[:2] + m.weights[2]))
 
-    scored = docs.withColumn("score", quality(F.col(text_col).cast("binary")))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = docs.withColumn(score, quality(F.col(text_col).cast("binary")))
+    return scored.withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
 
 
 def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_label: int = 2000, most_bytes: int = 8192) -> Model:
