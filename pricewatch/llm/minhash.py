@@ -16,9 +16,9 @@ edited). Members that are not linked to it choose further centres among
 themselves. What may still hide a link, after these star rounds, are pairs of
 different components one of which is not linked to the centre c. Such a pair
 x, y has |x & y| <= min(|x & c|, |y & c|) + (shingles outside c which they share),
-so it is generated only if it shares enough shingles outside c, counted by an
-equi-join on them, or if the first term alone could do. Both are exact: no link
-is lost, and groups stay near linear.
+so it is generated only if it shares a shingle outside c, among the rare ones of which a
+link has to share one (a prefix filter), or if the first term alone could do. Both
+are exact: no link is lost, and groups stay near linear.
 
 Cases. Null or empty texts: empty set, no link, a component of their own. A null
 id has no component and is kept. Rows that share an id count as one document
@@ -32,7 +32,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import WordHashes, mix, shared_dir, shingle_hashes, small_batches, stored, words
 from .components import connected_components
@@ -242,10 +242,6 @@ def _hidden_pairs(members, first, groups, sets, centre_of, threshold, folder) ->
     outside = _with_sets(seen, sets).mapInArrow(_outside, "a long, b long, extra array<long>")
     extra = stored(outside.select("a", "b", F.explode("extra").alias("shingle")).distinct(), folder, "extra")
     often = extra.groupBy("a", "shingle").agg(F.count("*").alias("n")).where("n > 1")
-    apart = seen.where("not linked").select("a", "b").distinct()
-    shared = extra.join(often.select("a", "shingle"), ["a", "shingle"])
-    x = shared.join(apart, ["a", "b"], "left_semi").select("a", "shingle", F.col("b").alias("x"))
-    y = shared.select("a", "shingle", F.col("b").alias("y"))
     facts = lambda name: seen.select(
         "a",
         F.col("b").alias(name),
@@ -254,20 +250,24 @@ def _hidden_pairs(members, first, groups, sets, centre_of, threshold, folder) ->
         F.col("component").alias(f"of_{name}"),
         F.col("linked").alias(f"on_{name}"),
     ).distinct()
-    x = x.join(facts("x"), ["a", "x"])
-    y = y.join(facts("y"), ["a", "y"])
+    # A link of b takes at least threshold % of b's shingles, so at least `least` from outside the centre. Ordered from
+    # the rarest in the group, b and its partner must then meet within all but the last least - 1 of those b shares with anyone.
+    shared = extra.join(often, ["a", "shingle"]).join(facts("b"), ["a", "b"])
+    least = F.ceil(threshold * F.col("n_b") / 100) - F.col("in_b")
+    member = Window.partitionBy("a", "b")
+    shared = shared.withColumn("_rank", F.row_number().over(member.orderBy("n", "shingle")))
+    shared = shared.withColumn("_all", F.count("*").over(member)).where((least <= 1) | (F.col("_rank") <= F.col("_all") - least + 1))
+    shared = stored(shared.select("a", "b", "shingle", "of_b", "on_b"), folder, "prefixes")
+    x = shared.where("not on_b").select("a", "shingle", F.col("b").alias("x"), F.col("of_b").alias("of_x"))
+    y = shared.select("a", "shingle", F.col("b").alias("y"), F.col("of_b").alias("of_y"), F.col("on_b").alias("on_y"))
     # Two members off the centre would come in both orders.
     once = (F.col("of_x") != F.col("of_y")) & (F.col("on_y") | (F.col("x") < F.col("y")))
-    counted = (
-        x.join(y, ["a", "shingle"]).where(once).groupBy("a", "x", "y", "n_x", "n_y", "in_x", "in_y").agg(F.count("*").alias("shared"))
-    )
+    by_shared = x.join(y, ["a", "shingle"]).where(once).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
     def possible(shared: Column) -> Column:
         most = F.least("in_x", "in_y") + shared
         return 100 * most >= threshold * (F.col("n_x") + F.col("n_y") - most)
 
-    by_shared = counted.where(possible(F.col("shared"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
-
     # Without a shared shingle outside the centre: only if y is small enough for x's overlap with the centre.
     # Sizes go into classes of about two per cent, and x looks into the few classes that can do.
     size_class = lambda n: F.floor(F.log(n.cast("double")) * 50).cast("int")
