@@ -1,4 +1,4 @@
-"""Frame helpers: table-wide values, one row per group, checked broadcasts."""
+"""Frame helpers: table-wide values, one row per group, session values."""
 
 from __future__ import annotations
 
@@ -6,19 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_BROADCAST_ROWS = 100_000
-
-
-def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting that `small` stays below `max_rows`.
-
-    A bigger frame comes back without a hint: the join then shuffles, and AQE
-    splits its hot partitions.
-    """
-    fits = small.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(small) if fits else small
-
-
 def with_table_value(
     df: DataFrame, source: DataFrame, value: Column, name: str, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -26,12 +13,12 @@ def with_table_value(
 
     Without `by` this is a scalar subquery: no join, and filters on the column
     reach the scan as a literal. With `by` (one value per shop) it is a left
-    join against one row per group, broadcast when that side is checked small.
+    join against one row per group, which AQE broadcasts or shuffles by its size.
     """
     if not by:
         return df.withColumn(name, source.agg(value.alias(name)).scalar())
     per_group = source.groupBy(*by).agg(value.alias(name))
-    return df.join(checked_broadcast(per_group), list(by), "left")
+    return df.join(per_group, list(by), "left")
 
 
 def first_per_group(

@@ -42,7 +42,7 @@ class AuditSettings:
     discount_threshold: int = 3
     tolerance: int = 3
     window_days: int = 90
-    max_false_discounts: int = 200_000
+    max_false_discounts: int | None = None
     own_name: str = "Reference"
     keys: Sequence[str] = ITEM
     whole_percents: bool = True
@@ -67,9 +67,7 @@ class AuditSettings:
 
 DEFAULT = AuditSettings()
 BY_SLUG = AuditSettings(window_days=30, keys=("itemId", "slug"))
-OLDER = AuditSettings(
-    window_days=30, max_false_discounts=400_000, whole_percents=False, exclude_type_4=False
-)
+OLDER = AuditSettings(window_days=30, whole_percents=False, exclude_type_4=False)
 
 
 def audit_stamp(raw: DataFrame) -> DataFrame:
@@ -169,9 +167,10 @@ def _false_discount(settings: AuditSettings) -> Column:
 
 
 def false_discounts(snapshot: DataFrame, settings: AuditSettings = DEFAULT) -> DataFrame:
-    """Discounted mismatches, the widest gaps up to the limit, then without type 4.
+    """Discounted mismatches without type 4: all of them.
 
-    The limit comes first, as in the report it feeds; equal gaps go by key.
+    A report that asks for a top list sets `max_false_discounts`. Its limit then comes
+    before the type filter; the widest gaps are taken, equal gaps by key.
     """
     return _widest_gaps(_discounted_mismatches(snapshot, settings), settings)
 
@@ -185,8 +184,10 @@ def _discounted_mismatches(snapshot: DataFrame, settings: AuditSettings) -> Data
 
 
 def _widest_gaps(rows: DataFrame, settings: AuditSettings, tie_break: Sequence[str] = ()) -> DataFrame:
-    widest = rows.orderBy(F.desc("rozdil_slev"), *settings.keys, *tie_break).limit(settings.max_false_discounts)
-    return widest.where(F.col("typ_neshody") != settings.label(4)) if settings.exclude_type_4 else widest
+    if settings.max_false_discounts is not None:
+        order = [F.desc("rozdil_slev"), *settings.keys, *tie_break]
+        rows = rows.orderBy(*order).limit(settings.max_false_discounts)
+    return rows.where(F.col("typ_neshody") != settings.label(4)) if settings.exclude_type_4 else rows
 
 
 def _partner_rows(partner: DataFrame, days: int, exact: bool) -> DataFrame:

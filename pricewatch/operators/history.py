@@ -17,7 +17,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.days import as_day
-from ..functions.frames import checked_broadcast, nulls_last, with_table_value
+from ..functions.frames import nulls_last, with_table_value
 from ..functions.prices import not_blank, plain_price_text, shop_domain
 
 ITEM = ("itemId",)
@@ -35,9 +35,8 @@ def second_latest_load(complete: DataFrame, by: Sequence[str] = ()) -> DataFrame
 
 
 def _load_limits(complete: DataFrame, by: Sequence[str]) -> DataFrame:
-    """`second_latest_load`, its size checked once when there is a row per group."""
-    limits = second_latest_load(complete, by)
-    return checked_broadcast(limits) if by else limits
+    """`second_latest_load`: a scalar, or a row per group, whose join AQE plans by its size."""
+    return second_latest_load(complete, by)
 
 
 def _with_load_limit(rows: DataFrame, limits: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -188,8 +187,9 @@ def last_attributes(
 ) -> DataFrame:
     """Newest slug, p_key and reference prices per item, and the shop's domain.
 
-    Slug and p_key skip missing values; reference prices do not. An item
-    belongs to one shop; if it shows up in several, each gets its own row.
+    Slug and p_key skip missing values; reference prices do not. All are the
+    item's last ones, also where its shop changed its label; an item of
+    several domains gets a row for each.
     """
     rows = complete
     if need_slug:
@@ -204,14 +204,21 @@ def last_attributes(
         return F.max_by(F.col(name), F.when(F.col(name).isNotNull(), F.struct("date", name)))
 
     newest_row = F.max(F.struct("date", "commonPrice", "minPrice"))
-    group = [*keys, *[c for c in ["shop"] if c not in keys]]
-    found = rows.groupBy(*group).agg(
+    found = rows.groupBy(*keys).agg(
         *[last_known(c).alias(c) for c in ("slug", "p_key") if c not in keys],
         newest_row.alias("newest_row"),
+        F.collect_set(shop_domain() if "shop" not in keys else F.lit("")).alias("_domains"),
+        F.max(F.when(shop_domain().isNull(), True)).alias("_unknown") if "shop" not in keys else F.lit(None).alias("_unknown"),
     )
+    if "shop" in keys:
+        found = found.withColumn("shop_id", shop_domain())
+    else:
+        # A set leaves NULL out; a domain that is not known is a row as well.
+        unknown = F.when(F.col("_unknown"), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
+        found = found.withColumn("shop_id", F.explode(F.concat("_domains", unknown)))
     return found.select(
         *keys,
-        shop_domain().alias("shop_id"),
+        "shop_id",
         *[c for c in ("slug", "p_key") if c not in keys],
         "newest_row.commonPrice",
         "newest_row.minPrice",
@@ -263,22 +270,20 @@ def price_history_by_pkey(complete: DataFrame, as_of: Day, keys: Sequence[str] =
 
 
 def price_history_plain(
-    complete: DataFrame, as_of: Day, recent_days: int = 2000, keys: Sequence[str] = ITEM
+    complete: DataFrame, as_of: Day, recent_days: int | None = None, keys: Sequence[str] = ITEM
 ) -> DataFrame:
     """Older document per item over all items, without reference prices.
 
-    An item needs a slug and at least one change after `as_of` - `recent_days`.
+    An item needs a slug and, where `recent_days` is given, a change after `as_of` - `recent_days`.
     """
     changes = history_changes(dedupe_days(complete, keys), as_of, keys, span=complete)
     price = "decimal(12,2)"
-    documents = (
-        changes.groupBy(*keys)
-        .agg(
-            _entries(o=F.col("o").cast(price), c=F.col("c").cast(price)).alias("json"),
-            F.max("d").alias("last_change"),
-        )
-        .where(F.col("last_change") > F.date_sub(as_day(as_of), recent_days))
+    documents = changes.groupBy(*keys).agg(
+        _entries(o=F.col("o").cast(price), c=F.col("c").cast(price)).alias("json"),
+        F.max("d").alias("last_change"),
     )
+    if recent_days is not None:
+        documents = documents.where(F.col("last_change") > F.date_sub(as_day(as_of), recent_days))
     attributes = last_attributes(complete, keys, recent_only=False, need_slug=False)
     return documents.join(attributes.where(not_blank("slug")), list(keys)).select(
         *[c for c in keys if c != "slug"], "slug", "shop_id", "json"

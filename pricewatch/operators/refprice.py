@@ -85,7 +85,7 @@ def price_runs(
     valid_days: int = 90,
     history_days: int | None = None,
     points_days: int | None = None,
-    calendar_days: int = CALENDAR_DAYS,
+    calendar_days: int | None = None,
     keys: Sequence[str] = ITEM,
     by: Sequence[str] = (),
 ) -> DataFrame:
@@ -96,10 +96,12 @@ def price_runs(
 
     The history window is `valid_days` + 30 days unless given. Points may be
     read from further back (`points_days`): then a price from before the window
-    is carried into it. Runs end at the next point or at the last day of the data.
+    is carried into it. The calendar covers all points read, and `CALENDAR_DAYS` at
+    least, unless `calendar_days` is given. Runs end at the next point or at the last day of the data.
     """
     history_days = history_days or valid_days + LOOKBACK_DAYS
     points_days = points_days or history_days
+    calendar_days = calendar_days or max(CALENDAR_DAYS, history_days + 1, points_days + 1)
     series = _series(keys)
 
     points = _numbered_points(unified, as_of, points_days, keys)
@@ -111,8 +113,10 @@ def price_runs(
     )
     start = days_before(as_of, history_days)
     if points_days > history_days:
+        # A price is carried into the window only for items that were seen in it, priced or not.
         runs = (
-            runs.where(F.col("run_end") >= start)
+            runs.join(active_items(unified, as_of, history_days, keys), list(keys), "left_semi")
+            .where(F.col("run_end") >= start)
             .withColumn("real", F.col("date") >= start)
             .withColumn("date", F.greatest(F.col("date"), start))
             .withColumn("day_no", F.unix_date("date"))
@@ -319,7 +323,7 @@ def ref_prices(
     limit_days: int | None = None,
     history_days: int | None = None,
     points_days: int | None = None,
-    calendar_days: int = CALENDAR_DAYS,
+    calendar_days: int | None = None,
     keys: Sequence[str] = ITEM,
     by: Sequence[str] = (),
 ) -> DataFrame:

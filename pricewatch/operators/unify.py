@@ -128,7 +128,7 @@ def item_count_check(recent_rows: DataFrame, raw: DataFrame, by: Sequence[str] =
     for its own origins.
     """
     per_item = (
-        raw.where(not_blank("currentPrice"))
+        raw.where(not_blank("currentPrice") & not_blank("date"))
         .groupBy(*by, F.to_date("date").alias("date"), "itemId")
         .agg(F.max(not_blank("originalPrice")).alias("claimed"))
     )

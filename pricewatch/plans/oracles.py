@@ -548,8 +548,7 @@ def _bodies() -> dict[str, str]:
         "avg_claimed_discount": "select * from avg_shop",
         "avg_real_discount": "select * from avg_own",
         "false_discounts": f"""
-        select * from (select * from pairs order by rozdil_slev desc, "itemId" limit 30)
-        where typ_neshody <> '{MISMATCH_TYPES[4].format(name=OWN)}'""",
+        select * from pairs where typ_neshody <> '{MISMATCH_TYPES[4].format(name=OWN)}'""",
         "false_discounts_partner": f"""
         select p.*, s."PARTNER" as partnersky_prodej from pairs p
         left join (select * from partner where "CREATED" = (select cast(cast(max("CREATED") as date) - 1 as varchar) from partner)) s

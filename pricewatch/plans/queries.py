@@ -341,7 +341,6 @@ def _audited(kind: str, settings=audit.DEFAULT):
 
 
 SHORT_WINDOW = audit.AuditSettings(window_days=12)
-SMALL_LIST = audit.AuditSettings(max_false_discounts=30)
 
 
 def audit_stamp(spark, sf):
@@ -539,7 +538,7 @@ def queries() -> dict[str, Query]:
         "count_false_discounts": _on_snapshot(audit.count_false_discounts),
         "avg_claimed_discount": _on_snapshot(audit.avg_claimed_discount),
         "avg_real_discount": _on_snapshot(audit.avg_real_discount),
-        "false_discounts": _on_snapshot(audit.false_discounts, SMALL_LIST),
+        "false_discounts": _on_snapshot(audit.false_discounts),
         "raised_ref_price": _raised(audit.DEFAULT),
         "raised_ref_price_partner": _raised(audit.DEFAULT, with_partner=True),
         "audit_dashboard": _dashboard(audit.DEFAULT),

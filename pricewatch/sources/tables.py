@@ -10,8 +10,9 @@ Two layouts, both without a table format on top:
 * unpartitioned, for small keyed tables: each upsert writes a new version
   directory, then moves the pointer file. Readers keep the version they opened.
 
-New rows are written to the scratch folder once before they are merged, so
-that their lineage is not run again for every use.
+New rows are written beside the table once before they are merged, so that
+their lineage is not run again for every use. Each writer has names of its own
+for what it writes aside; two writers of the same partitions still have to take turns.
 """
 
 from __future__ import annotations
@@ -19,20 +20,22 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.frames import first_per_group
 
-MAX_LISTED_PARTITIONS = 10_000
 _POINTER = "_current"
 _PENDING = "_pending"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh path below the shared folder the cluster names, or a local one where none is set."""
+    """A fresh path below the shared folder the cluster names; only a local session may go without one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
 
         base = tempfile.gettempdir()
@@ -129,6 +132,7 @@ def _write_version(df: DataFrame, path: str) -> None:
     version = f"v-{datetime.now():%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     df.write.parquet(f"{path}/{version}")
     _move_pointer(df.sparkSession, path, version)
+    drop_old_versions(df.sparkSession, path)
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
@@ -182,8 +186,7 @@ def upsert(
     if partition_by and partition_by not in keys:
         raise ValueError("the partition column must be part of the key")
     rows = _one_per_key(incoming, keys, order, keep_stamp)
-    scratch = scratch_dir(spark)
-    staged = f"{scratch}/incoming"
+    staged = f"{path}/_staging-{uuid.uuid4().hex}"
     (rows if keep_stamp else stamp(rows, loaded_at)).write.parquet(staged)
     new = spark.read.parquet(staged)
 
@@ -192,43 +195,49 @@ def upsert(
         _write_version(new if old is None else _merged(old, new, keys), path)
     elif not new.isEmpty():
         _upsert_partitions(spark, new, path, keys, partition_by)
-    _delete(spark, scratch)
+    _delete(spark, staged)
 
 
 def _merged(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    kept = old.join(new.select(*keys), list(keys), "left_anti")
+    """Null keys are equal to each other, so that a replay of such a row replaces it."""
+    replaced = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = [old[k].eqNullSafe(replaced[f"_new_{k}"]) for k in keys]
+    kept = old.join(replaced, reduce(lambda x, y: x & y, same), "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 
 def _upsert_partitions(spark: SparkSession, new: DataFrame, path: str, keys: list[str], column: str) -> None:
-    _swap_pending(spark, path, column)
+    for name in _names(spark, path):
+        if name.startswith(_PENDING):  # a run that was lost while it swapped
+            _swap_pending(spark, path, name, column)
     merged = new
     if table_exists(spark, path):
-        old = spark.read.parquet(path)
-        touched = new.select(column).distinct()
-        listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-        if len(listed) <= MAX_LISTED_PARTITIONS:
-            old = old.where(F.col(column).isin([r[0] for r in listed]))
-        else:
-            old = old.join(touched, column, "left_semi")
-        merged = _merged(old, new, keys)
-    merged.write.parquet(f"{path}/{_PENDING}")
-    _swap_pending(spark, path, column)
-
-
-def _swap_pending(spark: SparkSession, path: str, column: str) -> None:
-    """Put merged rows that were completely written aside in place of their partitions."""
-    pending = f"{path}/{_PENDING}"
-    if path_exists(spark, f"{pending}/_SUCCESS"):
-        # Rebalance splits a hot partition value over several files and packs small ones.
-        (
-            spark.read.parquet(pending)
-            .hint("rebalance", column)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column)
-            .parquet(path)
-        )
+        old, touched = spark.read.parquet(path), new.select(column).where(F.col(column).isNotNull()).distinct()
+        # The range prunes partitions at the scan, the semi join leaves the days that are really touched.
+        low, high = (touched.agg(f(column)).scalar() for f in (F.min, F.max))
+        kept = old.where((F.col(column) >= low) & (F.col(column) <= high)).join(touched, column, "left_semi").select(*old.columns)
+        if not new.where(F.col(column).isNull()).isEmpty():
+            kept = kept.unionByName(old.where(F.col(column).isNull()))
+        merged = _merged(kept, new, keys)
+    pending = f"{_PENDING}-{uuid.uuid4().hex}"
+    merged.write.parquet(f"{path}/{pending}")
+    _swap_pending(spark, path, pending, column)
+
+
+def _swap_pending(spark: SparkSession, path: str, name: str, column: str) -> None:
+    """Put merged rows that were completely written aside in place of their partitions; leave others alone."""
+    pending = f"{path}/{name}"
+    if not path_exists(spark, f"{pending}/_SUCCESS"):
+        return
+    # Rebalance splits a hot partition value over several files and packs small ones.
+    (
+        spark.read.parquet(pending)
+        .hint("rebalance", column)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(column)
+        .parquet(path)
+    )
     _delete(spark, pending)
 
 

@@ -13,25 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.prices import not_blank
 from ..operators.unify import one_per_day, unify
 from ..sources import tables
 
-MAX_LISTED_DAYS = 10_000
-
 
 def _rows_of_days(raw: DataFrame, batch: DataFrame) -> DataFrame:
-    """All raw rows of the days in the batch; a text range lets the scan skip other days."""
-    day = F.left("date", F.lit(10))
-    days = batch.select(day.alias("day")).where(F.col("day") != "").distinct()
-    listed = days.limit(MAX_LISTED_DAYS + 1).collect()
-    if len(listed) > MAX_LISTED_DAYS:
-        return raw.withColumn("day", day).join(days, "day", "left_semi").drop("day")
-    names = sorted(r["day"] for r in listed)
-    if not names:
-        return raw.limit(0)
-    # '~' sorts after any time of day.
-    in_range = F.col("date").between(names[0], names[-1] + "~")
-    return raw.where(in_range & day.isin(names))
+    """All raw rows of the days in the batch, days read as `unify` reads them."""
+    dated = lambda df: df.where(not_blank("date")).withColumn("_day", F.to_date("date"))
+    days = dated(batch).select("_day").distinct()
+    return dated(raw).join(days, "_day", "left_semi").drop("_day")
 
 
 def stream_unify(
@@ -42,13 +33,17 @@ def stream_unify(
     checkpoint_path: str,
     min_scope: str = "day",
     keys: Sequence[str] = ("itemId",),
+    by: Sequence[str] = (),
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Bring the unified table up to date with the raw Parquet files, then stop."""
+    """Bring the unified table up to date with the raw Parquet files, then stop.
+
+    `by` (part of `keys`) keeps shops apart that use the same item ids.
+    """
 
     def apply(batch: DataFrame, _: int) -> None:
         raw = spark.read.schema(schema).parquet(source_path)
-        rows = one_per_day(unify(_rows_of_days(raw, batch), min_scope), keys)
+        rows = one_per_day(unify(_rows_of_days(raw, batch), min_scope, by=by), keys)
         tables.upsert(rows, table_path, [*keys, "date"], partition_by="date", keep_stamp=True)
 
     reader = spark.readStream.schema(schema)

@@ -2,7 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from pricewatch.functions.frames import checked_broadcast, first_per_group, newest
+from pricewatch.functions.frames import first_per_group, newest
 from pricewatch.functions.prices import (
     percent_off,
     plain_price_text,
@@ -66,10 +66,3 @@ def test_first_per_group(spark):
     df = spark.sql("select * from values ('a', date'2024-01-01', 1), ('a', date'2024-01-03', 2), ('b', null, 3) t(k, d, v)")
     got = first_per_group(df, ["k"], [newest("d")]).collect()
     assert {r["k"]: r["v"] for r in got} == {"a": 2, "b": 3}
-
-
-def test_checked_broadcast_only_hints_what_fits(spark):
-    df = spark.range(10)
-    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
-    assert hinted(checked_broadcast(df, 10))
-    assert not hinted(checked_broadcast(df, 9))

@@ -134,3 +134,9 @@ def test_last_attributes_skip_missing_slugs_but_not_missing_prices(spark):
     frame = completed(spark, rows)
     (row,) = history.last_attributes(frame, recent_only=False, need_slug=False).collect()
     assert row["slug"] == "s1" and row["commonPrice"] is None
+
+
+def test_relabelled_shop_is_one_row_with_the_last_values(spark):
+    rows = [unified_row("i", "2024-01-01", 10, shop="alfa_cz", slug="old"), unified_row("i", "2024-01-02", 11, shop="alfa.cz", slug="new")]
+    (r,) = history.last_attributes(completed(spark, rows), recent_only=False).collect()
+    assert r["slug"] == "new"

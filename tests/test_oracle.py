@@ -24,10 +24,13 @@ def ordered(rows):
 
 
 def test_every_query_has_a_check():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """Those without SQL are tested against brute force beside their operator."""
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    without = set(entry.queries()) - set(entry.oracle_sql())
+    assert all(name == "pipeline" or name.startswith("op") for name in without)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     columns = sorted(df.columns)

@@ -99,8 +99,10 @@ def test_dashboard_counts_do_not_expand_rows(stored):
 
 def test_top_list_is_taken_per_partition_first(stored):
     _, full, raw = stored
-    text = plan(audit.false_discounts(audit.audit_snapshot(full, raw)))
+    text = plan(audit.false_discounts(audit.audit_snapshot(full, raw), audit.AuditSettings(max_false_discounts=30)))
     assert "TakeOrderedAndProject" in text or "GlobalLimit" in text
+    whole = plan(audit.false_discounts(audit.audit_snapshot(full, raw)))
+    assert "TakeOrderedAndProject" not in whole and "Limit" not in whole
     assert "Window" not in text
 
 

@@ -204,3 +204,18 @@ def test_shops_have_their_own_calendar(spark):
 def test_unknown_rule_is_refused(spark):
     with pytest.raises(ValueError):
         refprice.ref_prices(unified(spark, [unified_row("a", AS_OF, 1)]), AS_OF, rule="none")
+
+
+def test_long_validity_reaches_beyond_the_default_calendar(spark):
+    last = datetime.date(2024, 12, 31)
+    rows = [unified_row("old", last - datetime.timedelta(days=160), 200), unified_row("new", last, 10)]
+    got = {r["itemId"]: r["commonPrice"] for r in refprice.ref_prices(unified(spark, rows), last, 200, 200).collect()}
+    assert got["old"] == price(200) and got["new"] == price(10)
+
+
+def test_silent_items_do_not_come_back(spark):
+    last = datetime.date(2024, 12, 31)
+    rows = [unified_row("silent", last - datetime.timedelta(days=70), 200), unified_row("seen", last - datetime.timedelta(days=70), 50)]
+    rows += [unified_row("seen", last, None), unified_row("new", last, 10)]
+    got = refprice.ref_prices(unified(spark, rows), last, 30, None, rule="last_change", history_days=60, points_days=90)
+    assert {r["itemId"] for r in got.collect()} == {"seen", "new"}
