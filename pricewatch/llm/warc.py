@@ -12,7 +12,7 @@ digest and length of the full payload.
 
 Files lie in the shared folder (see `files`). A task writes to a name with a random
 part and returns it, and only returned names are read on, so a task that is run
-again leaves an orphan and no damage. Archives hold about `archive_bytes` each.
+again leaves an orphan and no damage. An archive holds one partition of the records, or about `archive_bytes`.
 
 Cases. Null html is an empty payload; a null url is left out. A null id sorts below all
 others and is written as an empty id. Rows that share the largest id of a payload are all
@@ -204,27 +204,37 @@ def _reader(with_payload: bool):
 
 
 def as_records(pages: DataFrame, least: int = 0, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Pages with payload, kind and refers_to. Only digests are grouped; a payload that many pages share is not."""
+    """Pages with payload, kind and refers_to.
+
+    Only digests and ids are grouped. Payloads move once at most, by digest and id, so a
+    payload that many pages share is spread over all partitions.
+    """
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"),
         F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("payload"),
     ).withColumn("digest", F.sha1("payload"))
-    newest = rows.groupBy("digest").agg(F.max("page_id").alias("newest"))
-    joined = rows.join(newest, "digest")
-    revisit = (F.octet_length("payload") >= least) & ~F.col("page_id").eqNullSafe(F.col("newest"))
-    return joined.select(
-        "page_id", "url", "payload", F.when(revisit, "revisit").otherwise("response").alias("kind"), F.when(revisit, F.col("newest")).alias("refers_to")
+    # A null id adds nothing to the text, which no other id does.
+    rows = rows.withColumn("_place", F.concat_ws(":", "digest", F.col("page_id").cast("string")))
+    known = rows.select("_place", "page_id", "digest", F.octet_length("payload").alias("bytes")).distinct()
+    newest = known.groupBy("digest").agg(F.max("page_id").alias("newest"))
+    revisit = (F.col("bytes") >= least) & ~F.col("page_id").eqNullSafe(F.col("newest"))
+    roles = known.join(newest, "digest").select(
+        "_place", F.when(revisit, "revisit").otherwise("response").alias("kind"), F.when(revisit, F.col("newest")).alias("refers_to")
     )
+    return rows.join(roles, "_place").select("page_id", "url", "payload", "kind", "refers_to")
+
 
+def write_archives(records: DataFrame, folder: str, archive_bytes: int | None = None, level: int = 6) -> DataFrame:
+    """Whole-file gzip archives; returns their names.
 
-def write_archives(records: DataFrame, folder: str, archive_bytes: int = 32 << 20, level: int = 6) -> DataFrame:
-    """Whole-file gzip archives; returns their names. A partition is an archive, its rows dealt evenly."""
+    A partition of `records` is an archive; with `archive_bytes`, rows are dealt anew to archives of about that.
+    """
     small_batches(records.sparkSession)
-    total = records.agg(F.sum(F.octet_length("payload"))).first()[0] or 0
-    parts = max(1, -(-total // archive_bytes), min(records.sparkSession.sparkContext.defaultParallelism, 1 + total // (1 << 20)))
-    dealt = records.repartition(int(parts), F.xxhash64("page_id", "url"))
-    return stored(dealt.mapInArrow(_writer(folder, level), "archive string"), folder, "written")
+    if archive_bytes:
+        total = records.agg(F.sum(F.octet_length("payload"))).first()[0] or 0
+        records = records.repartition(int(max(1, -(-total // archive_bytes))), F.xxhash64("page_id", "url"))
+    return stored(records.mapInArrow(_writer(folder, level), "archive string"), folder, "written")
 
 
 def normalise(archives: DataFrame, folder: str, level: int = 6) -> DataFrame:
