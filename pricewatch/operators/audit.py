@@ -1,4 +1,4 @@
-"""Discount audit: claimed against real discounts of one shop.
+"""Discount audit: claimed against real discounts of one shop, or of every shop in one pass.
 
 The snapshot holds one row per key, so the pairs that match a mismatch with a
 discounted mismatch of the same item are the discounted mismatches themselves,
@@ -37,6 +37,8 @@ class AuditSettings:
     `whole_percents` rounds claimed discounts to whole percents before they are
     averaged, counted as false or tested for "discounted now"; `exclude_type_4`
     leaves type 4 (real discount above the claimed one) out of count and list.
+    `by=("shop",)`, with the shop in `keys`, audits all shops of the tables at once,
+    each with its own last day, window and stamp; `shop` is then the shop itself.
     """
 
     discount_threshold: int = 3
@@ -47,6 +49,7 @@ class AuditSettings:
     keys: Sequence[str] = ITEM
     whole_percents: bool = True
     exclude_type_4: bool = True
+    by: Sequence[str] = ()
 
     @property
     def own_price(self) -> str:
@@ -67,12 +70,15 @@ class AuditSettings:
 
 DEFAULT = AuditSettings()
 BY_SLUG = AuditSettings(window_days=30, keys=("itemId", "slug"))
+BY_SHOP = AuditSettings(keys=("shop", "itemId"), by=("shop",))
 OLDER = AuditSettings(window_days=30, whole_percents=False, exclude_type_4=False)
 
 
-def audit_stamp(raw: DataFrame) -> DataFrame:
-    """One row: newest scrape minute, and the shop whose offers carry it."""
+def audit_stamp(raw: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row: newest scrape minute, and the shop whose offers carry it; with `by` a row per shop with its minute."""
     minute = F.left("date", F.lit(16))
+    if by:
+        return raw.where(not_blank("date")).groupBy(*by).agg(F.max(minute).alias("aktualizace"))
     latest = raw.agg(F.max(minute)).scalar()
     return (
         raw.where(F.col("date") >= latest)
@@ -85,7 +91,7 @@ def audit_stamp(raw: DataFrame) -> DataFrame:
 
 
 def _audit_rows(complete: DataFrame, raw: DataFrame, settings: AuditSettings) -> DataFrame:
-    shop = audit_stamp(raw).select("shop").scalar()
+    shop = F.col("shop") if settings.by else audit_stamp(raw).select("shop").scalar()
     claimed = F.coalesce(percent_off(F.col("currentPrice"), F.col("originalPrice")), F.lit(0))
     return complete.select(
         shop.alias("shop"),
@@ -107,13 +113,15 @@ def last_day(complete: DataFrame) -> Column:
 
 def audit_snapshot(complete: DataFrame, raw: DataFrame, settings: AuditSettings = DEFAULT) -> DataFrame:
     """Rows of the last day, claimed discount recomputed (0 when there is none)."""
-    return _audit_rows(complete.where(F.col("date") == last_day(complete)), raw, settings)
+    rows = with_table_value(complete, complete, F.max("date"), "_last", settings.by)
+    return _audit_rows(rows.where(F.col("date") == F.col("_last")), raw, settings)
 
 
 def audit_window(complete: DataFrame, raw: DataFrame, settings: AuditSettings = DEFAULT) -> DataFrame:
     """The same projection over the last `window_days` days."""
-    start = complete.agg(F.date_sub(F.max("date"), settings.window_days)).scalar()
-    return _audit_rows(complete.where(F.col("date") >= start), raw, settings)
+    start = F.date_sub(F.max("date"), settings.window_days)
+    rows = with_table_value(complete, complete, start, "_start", settings.by)
+    return _audit_rows(rows.where(F.col("date") >= F.col("_start")), raw, settings)
 
 
 def _whole(name: str) -> Column:
@@ -214,7 +222,7 @@ def false_discounts_with_partner(
 
 def raised_reference_price(
     window: DataFrame,
-    snapshot_day: Column,
+    snapshot_day: Column | None = None,
     settings: AuditSettings = DEFAULT,
     partner: DataFrame | None = None,
 ) -> DataFrame:
@@ -222,9 +230,13 @@ def raised_reference_price(
 
     `snapshot_day` is the last day of the data; the snapshot is the part of the
     window on that day, so whether an item is discounted now is a flag within
-    its own rows. The newest change is picked before the other tests.
+    its own rows. Left out, or with `by`, it is the last day of the window itself.
+    The newest change is picked before the other tests.
     """
     keys = list(settings.keys)
+    if settings.by or snapshot_day is None:
+        window = with_table_value(window, window, F.max("datum"), "_last", settings.by)
+        snapshot_day = F.col("_last")
     series = Window.partitionBy(*keys).orderBy("datum")
     discounted = (F.col("datum") == snapshot_day) & (_claim(settings) >= settings.tolerance)
     # A previous claim exists or the row does not count, so skipping missing
@@ -236,7 +248,7 @@ def raised_reference_price(
     )
     columns = ["shop", "itemName", "prodejni_cena", "refCena_dle_shopu", "refCena_puvodni", "datum"]
     columns += [settings.own_price, "sleva_dle_shopu", settings.own_discount, "itemUrl"]
-    last_change = F.max_by(F.struct(*columns), F.col("datum"))
+    last_change = F.max_by(F.struct(*[c for c in columns if c not in keys]), F.col("datum"))
     now, before = F.col("refCena_dle_shopu"), F.col("refCena_puvodni")
     growth = now.cast("double") / F.nullif(before.cast("double"), F.lit(0.0)) * 100 - 100
     found = (
@@ -251,7 +263,7 @@ def raised_reference_price(
         partner_columns = ["PARTNER"]
     return found.select(
         "shop",
-        *keys,
+        *[k for k in keys if k != "shop"],
         "itemName",
         "prodejni_cena",
         now.alias("refCena_aktualni"),
@@ -327,15 +339,22 @@ def avg_real_discount(snapshot: DataFrame, settings: AuditSettings = DEFAULT) ->
 
 
 def count_raised(raised: DataFrame, settings: AuditSettings = DEFAULT) -> DataFrame:
-    """Distinct items with a raised claimed price; 0 when there is none."""
-    return raised.agg(F.count_distinct(settings.count_key).alias("Produktu_s_navysenou_refCenou"))
+    """Distinct items with a raised claimed price; 0 when there is none (with `by`, such a shop has no row)."""
+    return raised.groupBy(*settings.by).agg(F.count_distinct(settings.count_key).alias("Produktu_s_navysenou_refCenou"))
 
 
 def audit_dashboard(complete: DataFrame, raw: DataFrame, settings: AuditSettings = DEFAULT) -> DataFrame:
-    """The dashboard row of the last day; figures about discounts are NULL when nothing is discounted."""
+    """The dashboard row of the last day, with `by` one per shop; figures about discounts are NULL when nothing is discounted."""
     counts = snapshot_counts(audit_snapshot(complete, raw, settings), settings)
-    raised = raised_reference_price(audit_window(complete, raw, settings), last_day(complete), settings)
-    stamp = audit_stamp(raw).select("aktualizace").scalar()
+    window = audit_window(complete, raw, settings)
+    if settings.by:
+        raised_n = count_raised(raised_reference_price(window, settings=settings), settings)
+        stamps = audit_stamp(raw, settings.by)
+        counts = counts.join(raised_n, list(settings.by), "left").join(stamps, list(settings.by), "left")
+        n_raised, stamp = F.coalesce("Produktu_s_navysenou_refCenou", F.lit(0)), F.col("aktualizace")
+    else:
+        n_raised = count_raised(raised_reference_price(window, last_day(complete), settings), settings).scalar()
+        stamp = audit_stamp(raw).select("aktualizace").scalar()
     local = F.convert_timezone(F.lit("UTC"), F.lit(LOCAL_ZONE), F.to_timestamp_ntz(stamp, F.lit("yyyy-MM-dd HH:mm")))
     any_discount = F.col("Produktu_ve_sleve") != 0
     return counts.select(
@@ -346,7 +365,7 @@ def audit_dashboard(complete: DataFrame, raw: DataFrame, settings: AuditSettings
             F.when(any_discount, value).alias(name)
             for name, value in {
                 "Produktu_s_chybnou_slevou": F.col("Produktu_s_chybnou_slevou"),
-                "Produktu_s_navysenou_refCenou": count_raised(raised, settings).scalar(),
+                "Produktu_s_navysenou_refCenou": n_raised,
                 "Prumerna_uvadena_sleva": F.col("Prumerna_uvadena_sleva"),
                 "Prumerna_realna_sleva": F.col("Prumerna_realna_sleva"),
             }.items()

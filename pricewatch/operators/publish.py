@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,20 +12,25 @@ from ..functions.prices import not_blank, shop_domain
 
 
 def publish_metadata(
-    metadata: DataFrame, as_of: date | Column | None, days_back: int = 2, by_pkey: bool = False
+    metadata: DataFrame,
+    as_of: date | Column | None,
+    days_back: int = 2,
+    by_pkey: bool = False,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Metadata of every slug that was loaded after the reference day.
 
     With `by_pkey` the older, wide table is the input: rows match by `pkey`,
-    need a reference price, and carry it along.
+    need a reference price, and carry it along. `by` keeps shops apart that use
+    the same slugs.
     """
     key = "pkey" if by_pkey else "slug"
-    fresh = metadata.where(loaded_after(days_before(as_of, days_back))).select(key).distinct()
+    fresh = metadata.where(loaded_after(days_before(as_of, days_back))).select(*by, key).distinct()
     rows = metadata.where(F.col("slug") != "null")
     if by_pkey:
         rows = rows.where(F.col("commonPrice") != "null")
     columns = ["itemId", "itemName", "itemImage", *(["commonPrice", "minPrice"] if by_pkey else [])]
-    return rows.join(fresh, key, "left_semi").select(
+    return rows.join(fresh, [*by, key], "left_semi").select(
         shop_domain().alias("shop_id"),
         F.col("itemUrl" if by_pkey else "slug").alias("slug"),
         *columns,

@@ -37,14 +37,24 @@ def recent(raw: DataFrame, as_of: date | Column | None, days_back: int, day_colu
     return raw.where(text_day_from(start, day_column))
 
 
-def unify(raw: DataFrame, min_scope: str = "scrape", by: Sequence[str] = ()) -> DataFrame:
+def rows_of_days(raw: DataFrame, batch: DataFrame) -> DataFrame:
+    """All raw rows of the days in `batch`, days read as `unify` reads them."""
+    dated = lambda df: df.where(not_blank("date")).withColumn("_day", F.to_date("date"))
+    days = dated(batch).select("_day").distinct()
+    return dated(raw).join(days, "_day", "left_semi").drop("_day")
+
+
+def unify(
+    raw: DataFrame, min_scope: str = "scrape", by: Sequence[str] = (), extra: Sequence[str] = ()
+) -> DataFrame:
     """Typed offers with the lowest selling and the highest claimed price of their group.
 
     `min_scope` sets the group of the lowest price: 'scrape' takes rows with
     the same scrape time, 'day' takes the whole calendar day. The highest
     claimed price always goes by day, and is dropped when it is not above the
     row's own selling price. Copies merge; `_timestamp` is the latest load.
-    `by` keeps shops apart that use the same item ids.
+    `by` keeps shops apart that use the same item ids; `extra` names further
+    columns of the shop that pass through as they are.
 
     The group extremes come from partial aggregates that are joined back, not
     from windows: one item may hold a large part of all offers, and AQE can
@@ -69,6 +79,7 @@ def unify(raw: DataFrame, min_scope: str = "scrape", by: Sequence[str] = ()) ->
             F.to_date("date").alias("date"),
             F.col("date").alias("scraped"),
             "inStock",
+            *extra,
             "_timestamp",
         )
     )
@@ -89,12 +100,12 @@ def unify(raw: DataFrame, min_scope: str = "scrape", by: Sequence[str] = ()) ->
         "originalPrice", null_if_not_above(F.col("top_original"), F.col("own_price"))
     )
     columns = [c for c in UNIFIED if c != "p_key"]
-    return _with_key(_merge_copies(rows.select(*columns, "_timestamp")))
+    return _with_key(_merge_copies(rows.select(*columns, *extra, "_timestamp")), extra)
 
 
-def _with_key(rows: DataFrame) -> DataFrame:
+def _with_key(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Add `p_key`, the hash of shop and item. Last of all, so that no shuffle carries it."""
-    return rows.withColumn("p_key", F.md5(F.concat("shop", "itemId"))).select(*UNIFIED, "_timestamp")
+    return rows.withColumn("p_key", F.md5(F.concat("shop", "itemId"))).select(*UNIFIED, *extra, "_timestamp")
 
 
 def _merge_copies(rows: DataFrame) -> DataFrame:
@@ -110,8 +121,8 @@ def one_per_day(unified: DataFrame, keys: Sequence[str] = ("itemId",)) -> DataFr
         *nulls_last(-F.col("originalPrice")),
         *[
             F.col(c)
-            for c in UNIFIED
-            if c not in (*keys, "date", "currentPrice", "originalPrice")
+            for c in dict.fromkeys([*UNIFIED, *unified.columns])
+            if c not in (*keys, "date", "currentPrice", "originalPrice", "_timestamp")
         ],
     ]
     columns = [c for c in unified.columns if c not in (*keys, "date")]
@@ -125,7 +136,7 @@ def item_count_check(recent_rows: DataFrame, raw: DataFrame, by: Sequence[str] =
     first aggregate by (day, item) carries the claim flag, so no row is doubled
     for two distinct counts. The day counts travel as one array, which is
     bounded by the number of calendar days. `by` counts each shop's own rows
-    for its own origins.
+    for its own origins, and keeps them in the result.
     """
     per_item = (
         raw.where(not_blank("currentPrice") & not_blank("date"))
@@ -138,7 +149,7 @@ def item_count_check(recent_rows: DataFrame, raw: DataFrame, by: Sequence[str] =
         claims.alias("count_itemId_with_origPrice"),
     )
     if by:
-        return recent_rows.select(*by, "shopOrigin").distinct().join(per_day, list(by)).drop(*by)
+        return recent_rows.select(*by, "shopOrigin").distinct().join(per_day, list(by))
     days = per_day.agg(F.collect_list(F.struct(*per_day.columns)).alias("days")).scalar()
     return (
         recent_rows.select("shopOrigin").distinct()

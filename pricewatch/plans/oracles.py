@@ -29,15 +29,17 @@ def _whole(value: str) -> str:
     return f"try_cast({value} as decimal(38,0))"
 
 
-def _raw(shift: str = "", where: str = "") -> str:
+def _raw(shift: str = "", where: str = "", shared: bool = False) -> str:
+    item = "(user_id // 5)" if shared else "user_id"
+    origin = "'origin_' || (user_id % 5 % 2)" if shared else "'demo_origin'"
     return f"""
     select case user_id % 5 when 0 then 'alfa_cz' when 1 then 'beta.cz' when 2 then 'gama_sk'
                             when 3 then 'delta.sk' else 'omega' end as shop,
-           'demo_origin' as "shopOrigin",
-           case when event_id % 211 = 0 then '' else 'i' || user_id end as "itemId",
+           {origin} as "shopOrigin",
+           case when event_id % 211 = 0 then '' else 'i' || {item} end as "itemId",
            'Item ' || user_id as "itemName",
            'https://shop.example/p/' || user_id as "itemUrl",
-           case when user_id % 37 = 0 then '' else 'p-' || user_id end as slug,
+           case when user_id % 37 = 0 then '' else 'p-' || {item} end as slug,
            case when event_type = 'error' then '' else cast(price as varchar) end as "currentPrice",
            case (user_id + blk) % 3
              when 1 then cast(cast(price * cast(1.25 as decimal(4,2)) as decimal(12,2)) as varchar)
@@ -52,19 +54,19 @@ def _raw(shift: str = "", where: str = "") -> str:
           from (select *, cast(floor(day(ts) / 4) as int) as blk from events {where}))"""
 
 
-def _unify(raw: str, scope: str) -> str:
-    group = '"itemId", scraped' if scope == "scrape" else '"itemId", date'
+def _unify(raw: str, scope: str, by: str = "", extra: str = "") -> str:
+    group = by + ('"itemId", scraped' if scope == "scrape" else '"itemId", date')
     return f"""
     select shop, p_key, "itemId", "itemName", "itemUrl", slug, "currentPrice", "originalPrice",
-           "officialSale", "itemImage", date, "inStock", max(_timestamp) as _timestamp
+           "officialSale", "itemImage", date, "inStock", {extra} max(_timestamp) as _timestamp
     from (select *, min(own) over (partition by {group}) as "currentPrice",
                  case when top > own then top when top <= own then null else top end as "originalPrice"
-          from (select *, max(claim) over (partition by "itemId", date) as top
+          from (select *, max(claim) over (partition by {by} "itemId", date) as top
                 from (select shop, md5(shop || "itemId") as p_key, "itemId", "itemName", "itemUrl", slug,
                              try_cast("currentPrice" as decimal(12,2)) as own,
                              try_cast("originalPrice" as decimal(12,2)) as claim,
                              {_pct(_whole('"currentPrice"'), _whole('"originalPrice"'))} as "officialSale",
-                             img as "itemImage", date as scraped, cast(date as date) as date, "inStock", _timestamp
+                             img as "itemImage", date as scraped, cast(date as date) as date, "inStock", {extra} _timestamp
                       from {raw}
                       where "currentPrice" <> '' and date <> '' and "itemId" <> '')))
     group by all"""
@@ -279,23 +281,26 @@ def _document(tag: str, keys: str = '"itemId"', wrap: bool = False) -> str:
 OWN = "Reference"
 
 
-def _audit(tag: str, rows: str, days: int, keys: str = '"itemId"', whole: bool = True, skip4: bool = True) -> dict[str, str]:
+def _audit(
+    tag: str, rows: str, days: int, keys: str = '"itemId"', whole: bool = True, skip4: bool = True, by_shop: bool = False
+) -> dict[str, str]:
     slug = "slug, " if "slug" in keys else ""
     label = {n: text.format(name=OWN) for n, text in MISMATCH_TYPES.items()}
     s, h = _whole("sleva_dle_shopu"), _whole(f'"sleva_dle_{OWN}"')
     projection = f"""
-        select (select shop from stamp) as shop, "itemId", {slug} "itemName", "currentPrice" as prodejni_cena,
+        select {'shop' if by_shop else '(select shop from stamp) as shop'}, "itemId", {slug} "itemName", "currentPrice" as prodejni_cena,
                "originalPrice" as "refCena_dle_shopu", "originalPriceHS" as "refCena_dle_{OWN}",
                coalesce({_pct('"currentPrice"', '"originalPrice"')}, 0) as sleva_dle_shopu,
                "newSale" as "sleva_dle_{OWN}", date as datum, "itemUrl"
-        from {rows} """
+        from {rows} r """
+    same = "where x.shop = r.shop" if by_shop else ""
     gap = f'abs(sleva_dle_shopu - "sleva_dle_{OWN}")'
     count = "slug" if slug else '"itemId"'
     claim = s if whole else "sleva_dle_shopu"
     type4 = f"and typ_neshody <> '{label[4]}'" if skip4 else ""
     return {
-        f"snap{tag}": projection + f"where date = (select max(date) from {rows})",
-        f"win{tag}": projection + f"where date >= (select max(date) - {days} from {rows})",
+        f"snap{tag}": projection + f"where date = (select max(date) from {rows} x {same})",
+        f"win{tag}": projection + f"where date >= (select max(date) - {days} from {rows} x {same})",
         f"mism{tag}": f"""
         select case when {s} > {h} and {h} < 0 then '{label[1]}' when {s} > {h} and {h} = 0 then '{label[2]}'
                     when {s} > {h} and {h} > 0 then '{label[3]}' when {s} < {h} and {h} > 0 then '{label[4]}'
@@ -324,7 +329,7 @@ def _audit(tag: str, rows: str, days: int, keys: str = '"itemId"', whole: bool =
         where m.before is not null and m."refCena_dle_shopu" is not null and m.known <> m."refCena_dle_shopu"
         qualify row_number() over (partition by {_cols(keys, 'm')} order by m.datum desc) = 1""",
         f"raised_out{tag}": f"""
-        select shop, {keys}, "itemName", prodejni_cena, "refCena_dle_shopu" as "refCena_aktualni",
+        select {keys if by_shop else 'shop, ' + keys}, "itemName", prodejni_cena, "refCena_dle_shopu" as "refCena_aktualni",
                before as "refCena_puvodni", datum as "datum_zmeny_refCeny", "refCena_dle_{OWN}", sleva_dle_shopu,
                "sleva_dle_{OWN}", "itemUrl", cast("refCena_dle_shopu" - before as decimal(18,2)) as "rozdil_refCen"
         from raised{tag}
@@ -343,13 +348,39 @@ def _audit(tag: str, rows: str, days: int, keys: str = '"itemId"', whole: bool =
 ITEM, SLUG, SHOP = '"itemId"', '"itemId", slug', 'shop, "itemId"'
 
 
+def _dashboard_by_shop(tag: str, raw: str) -> str:
+    s = _whole("sleva_dle_shopu")
+    own = f'case when {s} > 3 then "sleva_dle_{OWN}" end'
+    claim = f"case when sleva_dle_shopu > 3 then {s} end"
+    label = MISMATCH_TYPES[4].format(name=OWN)
+    return f"""
+    select i.shop as "Shop", "Produktu_celkem", "Produktu_ve_sleve",
+           case when "Produktu_ve_sleve" <> 0 then f.n end as "Produktu_s_chybnou_slevou",
+           case when "Produktu_ve_sleve" <> 0 then coalesce(r.n, 0) end as "Produktu_s_navysenou_refCenou",
+           case when "Produktu_ve_sleve" <> 0 then claimed end as "Prumerna_uvadena_sleva",
+           case when "Produktu_ve_sleve" <> 0 then real_mean end as "Prumerna_realna_sleva",
+           timezone('Europe/Prague', timezone('UTC', cast(t.aktualizace || ':00' as timestamp))) as "Aktualizace"
+    from (select shop, count(distinct "itemId") as "Produktu_celkem",
+                 count(distinct case when sleva_dle_shopu > 3 then "itemId" end) as "Produktu_ve_sleve",
+                 {_mean(f'sum({claim})', f'count({claim})')} as claimed, {_mean(f'sum({own})', f'count({own})')} as real_mean
+          from snap{tag} group by shop) i
+    left join (select shop, count(distinct "itemId") as n from mism{tag}
+               where {s} > 3 and typ_neshody <> '{label}' group by shop) f on f.shop = i.shop
+    left join (select shop, count(distinct "itemId") as n from raised_out{tag} group by shop) r on r.shop = i.shop
+    left join stamps{tag} t on t.shop = i.shop"""
+
+
 def _parts() -> dict[str, str]:
     every_day = "select r.* exclude (date), d.day as date from {refs} r, every_day d"
     parts = {
         "today": "select max(cast(ts as date)) as t from events",
         "raw": _raw(),
         "raw2": _raw("- 5", "where event_type = 'click'"),
+        "rawm": _raw(shared=True),
+        "rawu": """select *, case when "originalPrice" = '' then 'false' else 'true' end as "usedGoods" from raw""",
         "scraped": _unify("raw", "scrape"),
+        "dailym": _unify("rawm", "day", "shop, "),
+        "unim": _keyed("dailym", SHOP),
         "daily": _unify("raw", "day"),
         "daily2": _unify("raw2", "day"),
         "uni": _keyed("daily", ITEM),
@@ -378,6 +409,9 @@ def _parts() -> dict[str, str]:
         **_reference("_slug", "uni_slug", SLUG, oldest=True),
         **_reference("_slugmin", "uni_slug", SLUG),
         **_reference("_shop", "uni_shop", SHOP),
+        **_reference("_m", "unim", SHOP),
+        "refs_daily_m": every_day.format(refs="refs_m"),
+        "complete_m": _complete("unim", "refs_daily_m", SHOP),
         "refs_daily": every_day.format(refs="refs"),
         "refs_daily_slug": every_day.format(refs="refs_slugmin"),
         "refs_daily_shop": every_day.format(refs="refs_shop"),
@@ -392,6 +426,9 @@ def _parts() -> dict[str, str]:
         **_audit("_short", "complete", 12),
         **_audit("_slug", "complete_slug", 30, SLUG),
         **_audit("_older", "complete", 30, whole=False, skip4=False),
+        **_audit("_m", "complete_m", 90, SHOP, by_shop=True),
+        "stamps_m": "select shop, max(left(date, 16)) as aktualizace from rawm where date <> '' group by shop",
+        "meta_m": _metadata("complete_m", SHOP, ALL, stamp=True),
         "recent_meta": f"""
         select * from complete, today where _timestamp >= cast(t - {RECENT} as timestamp)""",
         "meta": _metadata("complete", ITEM, RECENT),
@@ -456,6 +493,13 @@ def _bodies() -> dict[str, str]:
                count(distinct case when "originalPrice" <> '' then "itemId" end) as "count_itemId_with_origPrice"
         from (select distinct "shopOrigin" from raw, today where cast(_timestamp as date) >= t - {RECENT}) o
         left join raw r on true where "currentPrice" <> '' group by 1, 2""",
+        "unify_prices_by_shop": "select * from unim",
+        "unify_prices_used_goods": _unify("rawu", "day", extra='"usedGoods",'),
+        "item_count_check_by_shop": f"""
+        select r.shop, o."shopOrigin", cast(r.date as date) as date, count(distinct "itemId") as "count_itemId_with_curPrice",
+               count(distinct case when "originalPrice" <> '' then "itemId" end) as "count_itemId_with_origPrice"
+        from (select distinct shop, "shopOrigin" from rawm, today where cast(_timestamp as date) >= t - {RECENT}) o
+        join rawm r on o.shop = r.shop where "currentPrice" <> '' group by 1, 2, 3""",
         "merge_feeds": f"""
         select *, md5(shop || "itemId") as p_key, {_pct('"currentPrice"', '"originalPrice"')} as "officialSale"
         from (select coalesce(a.shop, b.shop) as shop, coalesce(a."itemId", b."itemId") as "itemId",
@@ -504,6 +548,13 @@ def _bodies() -> dict[str, str]:
                      lag({_whole('"currentPrice"')} ignore nulls) over (partition by "itemId" order by date) as prev
               from uni where cast(date as timestamp) >= (select max(_timestamp) - interval 2 day from uni))
         where now / nullif(prev, 0) > 100 or now / nullif(prev, 0) < 0.01""",
+        "suspicious_prices_by_slug": f"""
+        select shop, "itemId", "itemName", "itemUrl", slug, "currentPrice", "originalPrice", "officialSale", date, prev,
+               cast(now as double) / nullif(cast(prev as double), 0) as narust
+        from (select *, {_whole('"currentPrice"')} as now,
+                     lag({_whole('"currentPrice"')} ignore nulls) over (partition by {SLUG} order by date) as prev
+              from uni_slug where cast(date as timestamp) >= (select max(_timestamp) - interval 2 day from uni_slug))
+        where now / nullif(prev, 0) > 100 or now / nullif(prev, 0) < 0.01""",
         "latest_metadata": "select * from meta",
         "latest_metadata_by_slug": "select * from meta_slug",
         "latest_metadata_wide": "select * from meta_wide",
@@ -534,6 +585,10 @@ def _bodies() -> dict[str, str]:
         select {_domain('shop')} as shop_id, "itemUrl" as slug, "itemId", "itemName", "itemImage", "commonPrice", "minPrice"
         from meta_wide_all where slug <> 'null' and "commonPrice" <> 'null' and pkey in (
           select pkey from meta_wide_all, today where cast(_timestamp as date) > t - 1)""",
+        "publish_metadata_by_shop": f"""
+        select {_domain('shop')} as shop_id, slug, "itemId", "itemName", "itemImage" from meta_m
+        where slug <> 'null' and (shop, slug) in (
+          select (shop, slug) from meta_m, today where cast(_timestamp as date) > t - 1)""",
         "publish_history": "select * from published_history",
         "publish_history_plain": """
         select d.shop_id, d.slug, d.json from documents_h d join loads using ("itemId"), today
@@ -563,6 +618,14 @@ def _bodies() -> dict[str, str]:
         "audit_dashboard": "select * from dash",
         "audit_dashboard_by_slug": "select * from dash_slug",
         "audit_dashboard_older": "select * from dash_older",
+        "audit_stamp_by_shop": "select * from stamps_m",
+        "audit_snapshot_by_shop": "select * from snap_m",
+        "false_discounts_by_shop": f"select * from pairs_m where typ_neshody <> '{MISMATCH_TYPES[4].format(name=OWN)}'",
+        "false_discounts_by_slug": f"select * from pairs_slug where typ_neshody <> '{MISMATCH_TYPES[4].format(name=OWN)}'",
+        "false_discounts_older": "select * from pairs_older",
+        "raised_ref_price_by_shop": "select * from raised_out_m",
+        "raised_ref_price_by_slug": "select * from raised_out_slug",
+        "audit_dashboard_by_shop": _dashboard_by_shop("_m", "rawm"),
         "dashboard_history": "select * from dash",
         "migrate_unified": f"""
         select * replace ({_pct('"currentPrice"', '"originalPrice"')} as "officialSale") from (select {UNIFIED} from uni)""",
@@ -597,6 +660,7 @@ def _bodies() -> dict[str, str]:
               union all select 'stale', cast(max(_timestamp) as date) from raw
                         where cast(_timestamp as date) < (select t from today)), today""",
         "stream_unify": "select * from uni",
+        "stream_unify_by_shop": "select * from unim",
     }
     return bodies
 

@@ -7,7 +7,7 @@ run can start again at any stage, and nothing is computed twice.
 Tables below `root`:
 
     unified             (item, date)         partitioned by date
-    item_count_check    (shopOrigin, date)   partitioned by date
+    item_count_check    (shopOrigin, date)   partitioned by date; with the shop where a table holds several
     reference_prices    (item, date)         partitioned by date
     complete            (item, date)         partitioned by date
     suspicious_prices   (item, date, shop)   partitioned by date
@@ -23,13 +23,14 @@ holds several of them.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.days import local_today
 from ..functions.frames import tune
+from ..functions.prices import not_blank
 from ..operators import audit, complete, history, metadata, publish, refprice, unify
 from ..sources import documents, tables
 
@@ -38,8 +39,8 @@ from ..sources import documents, tables
 class Settings:
     """Parameters of the stages.
 
-    `by=("shop",)` says that the tables hold several shops; `shops` then lists
-    those to audit, each into tables of its own, as a dashboard is about one shop.
+    `by=("shop",)` says that the tables hold several shops (`keys` then starts with
+    the shop): each has its own calendar, loads and dashboard row.
     """
 
     days_back: int = 2
@@ -48,7 +49,7 @@ class Settings:
     min_scope: str = "day"
     keys: Sequence[str] = ("itemId",)
     by: Sequence[str] = ()
-    shops: Sequence[str] = ()
+    extra: Sequence[str] = ()
     audit: audit.AuditSettings = field(default_factory=audit.AuditSettings)
 
 
@@ -63,8 +64,8 @@ class Pipeline:
         as_of: date | None = None,
         loaded_at: datetime | None = None,
     ) -> None:
-        if settings.by and not settings.shops:
-            raise ValueError("list the shops to audit")
+        if not set(settings.by) <= set(settings.keys):
+            raise ValueError("keys must hold the columns of by")
         tune(spark)
         self.spark = spark
         self.root = root.rstrip("/")
@@ -82,13 +83,30 @@ class Pipeline:
     def _upsert(self, df: DataFrame, name: str, keys: Sequence[str], partition_by: str | None = None) -> None:
         tables.upsert(df, self.path(name), keys, partition_by=partition_by, loaded_at=self.loaded_at)
 
-    def unify(self, raw: DataFrame) -> None:
+    def unify(self, raw: DataFrame, second: DataFrame | None = None) -> None:
+        """Recent offers into the unified table; `second` is another feed of the same items."""
         s = self.settings
         recent = unify.recent(raw, self.as_of, s.days_back)
-        rows = unify.one_per_day(unify.unify(recent, s.min_scope, s.by), self.keys)
+        rows = self._one_per_day(recent, () if second is not None else s.extra)
+        if second is not None:
+            rows = unify.merge_feeds(rows, self._one_per_day(unify.recent(second, self.as_of, s.days_back)), self.keys)
         self._upsert(rows, "unified", [*self.keys, "date"], "date")
-        check = unify.item_count_check(recent, raw, s.by)
-        self._upsert(check, "item_count_check", ["shopOrigin", "date"], "date")
+        check = unify.item_count_check(recent, self._rows_to_count(raw, recent), s.by)
+        self._upsert(check, "item_count_check", [*s.by, "shopOrigin", "date"], "date")
+
+    def _one_per_day(self, offers: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+        s = self.settings
+        return unify.one_per_day(unify.unify(offers, s.min_scope, s.by, extra), self.keys)
+
+    def _rows_to_count(self, raw: DataFrame, recent: DataFrame) -> DataFrame:
+        """Raw rows of the days that have new ones; all of them while an origin has no counts yet."""
+        if not tables.table_exists(self.spark, self.path("item_count_check")):
+            return raw
+        origin = [*self.settings.by, "shopOrigin"]
+        counted = self.table("item_count_check").select(*origin).distinct()
+        if not recent.where(not_blank("shopOrigin")).select(*origin).distinct().join(counted, origin, "left_anti").isEmpty():
+            return raw
+        return unify.rows_of_days(raw, recent)
 
     def reference_prices(self) -> None:
         s = self.settings
@@ -123,7 +141,7 @@ class Pipeline:
 
     def publish(self, documents_path: str | None = None) -> None:
         days = self.settings.days_back
-        meta = publish.publish_metadata(self.table("metadata"), self.as_of, days)
+        meta = publish.publish_metadata(self.table("metadata"), self.as_of, days, by=self.settings.by)
         prices = publish.publish_history(self.table("price_history"), self.as_of, days)
         for name, rows in (("metadata", meta), ("pricehistory", prices)):
             tables.replace(rows, self.path(f"published_{name}"), self.loaded_at, ["shop_id", "slug"])
@@ -131,35 +149,39 @@ class Pipeline:
                 stored = self.table(f"published_{name}").drop("_timestamp")
                 documents.write_documents(stored, documents_path, name)
 
-    def audit(self, raw: DataFrame) -> None:
+    def audit(self, raw: DataFrame, partner: DataFrame | None = None) -> None:
+        """Dashboard and lists of the last day, of all shops in one pass; `partner` says who sold an item that day."""
+        by = tuple(self.settings.by)
+        s = replace(self.settings.audit, by=by, keys=tuple(self.keys)) if by else self.settings.audit
         rows = self.table("complete")
-        if not self.settings.by:
-            return self._audit(rows, raw, "")
-        for shop in self.settings.shops:
-            own = F.col("shop") == shop
-            self._audit(rows.where(own), raw.where(own), f"{shop}/")
-
-    def _audit(self, rows: DataFrame, raw: DataFrame, folder: str) -> None:
-        s = self.settings.audit
         snapshot = audit.audit_snapshot(rows, raw, s)
-        last_day = audit.last_day(rows)
-        raised = audit.raised_reference_price(audit.audit_window(rows, raw, s), last_day, s)
+        raised = audit.raised_reference_price(audit.audit_window(rows, raw, s), audit.last_day(rows), s, partner)
+        if partner is None:
+            falsely = audit.false_discounts(snapshot, s)
+        else:
+            falsely = audit.false_discounts_with_partner(snapshot, partner, s)
         for name, result, keys, partition_by in (
-            ("dashboard", audit.audit_dashboard(rows, raw, s), ["Aktualizace"], None),
-            ("false_discounts", audit.false_discounts(snapshot, s), [*s.keys, "datum"], "datum"),
+            ("dashboard", audit.audit_dashboard(rows, raw, s), [*["Shop"][: len(by)], "Aktualizace"], None),
+            ("false_discounts", falsely, [*s.keys, "datum"], "datum"),
             ("raised_prices", raised, [*s.keys, "datum_zmeny_refCeny"], "datum_zmeny_refCeny"),
         ):
-            path = self.path(folder + name)
+            path = self.path(name)
             tables.snapshot_and_history(
                 result, path, f"{path}_history", keys, self.loaded_at, partition_by
             )
 
-    def run(self, raw: DataFrame, documents_path: str | None = None) -> None:
+    def run(
+        self,
+        raw: DataFrame,
+        documents_path: str | None = None,
+        second: DataFrame | None = None,
+        partner: DataFrame | None = None,
+    ) -> None:
         """All stages in order."""
-        self.unify(raw)
+        self.unify(raw, second)
         self.reference_prices()
         self.complete()
         self.metadata()
         self.price_history()
         self.publish(documents_path)
-        self.audit(raw)
+        self.audit(raw, partner)

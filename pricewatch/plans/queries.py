@@ -51,12 +51,18 @@ def _stored(spark: SparkSession, name: tuple, build: Callable[[], DataFrame]) ->
     return spark.read.parquet(path)
 
 
-def _unified_plan(spark: SparkSession, sf: str, keys=ITEM) -> DataFrame:
-    return unify.one_per_day(unify.unify(offers.raw_offers(spark, sf), "day"), keys)
+def _unified_plan(spark: SparkSession, sf: str, keys=ITEM, shared=False) -> DataFrame:
+    raw = offers.raw_offers(spark, sf, shared=shared)
+    return unify.one_per_day(unify.unify(raw, "day", by=_groups(keys)), keys)
 
 
-def unified(spark: SparkSession, sf: str, keys=ITEM) -> DataFrame:
-    return _stored(spark, ("unified", sf, keys), lambda: _unified_plan(spark, sf, keys))
+def _groups(keys) -> tuple[str, ...]:
+    return ("shop",) if "shop" in keys else ()
+
+
+def unified(spark: SparkSession, sf: str, keys=ITEM, shared=False) -> DataFrame:
+    """One row per key and day; `shared`: of the feed whose shops use the same item ids."""
+    return _stored(spark, ("unified", sf, keys, shared), lambda: _unified_plan(spark, sf, keys, shared))
 
 
 def runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,21 +73,23 @@ def changes(spark: SparkSession, sf: str) -> DataFrame:
     return refprice.price_changes(runs(spark, sf), days_before(today(spark, sf), VALID_DAYS))
 
 
-def reference(spark: SparkSession, sf: str, keys=ITEM, by=(), **options) -> DataFrame:
+def reference(spark: SparkSession, sf: str, keys=ITEM, by=(), shared=False, **options) -> DataFrame:
     options = {"discount_valid_days": VALID_DAYS, "common_price_days": COMMON_DAYS, **options}
-    return refprice.ref_prices(unified(spark, sf, keys), today(spark, sf), keys=keys, by=by, **options)
+    rows = unified(spark, sf, keys, shared)
+    return refprice.ref_prices(rows, today(spark, sf), keys=keys, by=by, **options)
 
 
-def completed(spark: SparkSession, sf: str, keys=ITEM) -> DataFrame:
+def completed(spark: SparkSession, sf: str, keys=ITEM, shared=False) -> DataFrame:
     """All days with the reference prices of the last day, as if they had held on every day."""
-    return _stored(spark, ("completed", sf, keys), lambda: _completed_plan(spark, sf, keys))
+    return _stored(spark, ("completed", sf, keys, shared), lambda: _completed_plan(spark, sf, keys, shared))
 
 
-def _completed_plan(spark: SparkSession, sf: str, keys) -> DataFrame:
+def _completed_plan(spark: SparkSession, sf: str, keys, shared) -> DataFrame:
     events = offers.read_table(spark, sf, "events")
     span = events.agg(F.sequence(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).alias("days")).scalar()
-    every_day = reference(spark, sf, keys).withColumn("date", F.explode(span))
-    return complete.complete(unified(spark, sf, keys), every_day, ALL_DAYS, today(spark, sf), keys)
+    prices = reference(spark, sf, keys, _groups(keys) if shared else (), shared)
+    every_day = prices.withColumn("date", F.explode(span))
+    return complete.complete(unified(spark, sf, keys, shared), every_day, ALL_DAYS, today(spark, sf), keys)
 
 
 def days(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,10 +127,26 @@ def unify_prices_keyed(spark, sf):
     return _unified_plan(spark, sf)
 
 
+def unify_prices_by_shop(spark, sf):
+    """Shops that use the same item ids keep their own prices."""
+    return _unified_plan(spark, sf, BY_SHOP, shared=True)
+
+
+def unify_prices_used_goods(spark, sf):
+    """A flag of the shop's own, here set where a price is claimed, passes through."""
+    flag = F.when(F.col("originalPrice") == "", "false").otherwise("true")
+    return unify.unify(offers.raw_offers(spark, sf).withColumn("usedGoods", flag), "day", extra=["usedGoods"])
+
+
 def item_count_check(spark, sf):
     return unify.item_count_check(recent_rows(spark, sf), offers.raw_offers(spark, sf))
 
 
+def item_count_check_by_shop(spark, sf):
+    raw = offers.raw_offers(spark, sf, shared=True)
+    return unify.item_count_check(unify.recent(raw, today(spark, sf), RECENT_DAYS), raw, by=("shop",))
+
+
 def merge_feeds(spark, sf):
     second = unify.one_per_day(unify.unify(offers.second_feed(spark, sf), "day"))
     return unify.merge_feeds(unified(spark, sf), second)
@@ -221,6 +245,10 @@ def suspicious_prices(spark, sf):
     return complete.suspicious_prices(unified(spark, sf))
 
 
+def suspicious_prices_by_slug(spark, sf):
+    return complete.suspicious_prices(unified(spark, sf, BY_SLUG), keys=BY_SLUG)
+
+
 # --- stage 04 ---------------------------------------------------------------
 
 
@@ -309,6 +337,13 @@ def publish_metadata(spark, sf):
     return publish.publish_metadata(_stamped_metadata(spark, sf), today(spark, sf), 1)
 
 
+def publish_metadata_by_shop(spark, sf):
+    """Slugs that several shops use: each shop needs a fresh load of its own."""
+    rows = completed(spark, sf, BY_SHOP, shared=True)
+    stamped = metadata.latest_metadata(rows, today(spark, sf), ALL_DAYS, BY_SHOP, extra=("_timestamp",))
+    return publish.publish_metadata(stamped, today(spark, sf), 1, by=("shop",))
+
+
 def publish_metadata_pkey(spark, sf):
     return publish.publish_metadata(_stamped_metadata(spark, sf, wide=True), today(spark, sf), 1, by_pkey=True)
 
@@ -331,11 +366,16 @@ def publish_history_plain(spark, sf):
 # --- stage 07 ---------------------------------------------------------------
 
 
+def _audit_inputs(spark, sf, settings):
+    """Complete prices and raw offers; audits by shop take the feed whose shops share item ids."""
+    shared = bool(settings.by)
+    return completed(spark, sf, tuple(settings.keys), shared), offers.raw_offers(spark, sf, shared=shared)
+
+
 def _audited(kind: str, settings=audit.DEFAULT):
     def frame(spark, sf):
-        rows = completed(spark, sf, tuple(settings.keys))
         make = audit.audit_snapshot if kind == "snapshot" else audit.audit_window
-        return make(rows, offers.raw_offers(spark, sf), settings)
+        return make(*_audit_inputs(spark, sf, settings), settings)
 
     return frame
 
@@ -347,6 +387,10 @@ def audit_stamp(spark, sf):
     return audit.audit_stamp(offers.raw_offers(spark, sf))
 
 
+def audit_stamp_by_shop(spark, sf):
+    return audit.audit_stamp(offers.raw_offers(spark, sf, shared=True), by=("shop",))
+
+
 def _on_snapshot(operator, settings=audit.DEFAULT) -> Query:
     return lambda spark, sf: operator(_audited("snapshot", settings)(spark, sf), settings)
 
@@ -372,8 +416,7 @@ def count_raised(spark, sf):
 
 def _dashboard(settings) -> Query:
     def query(spark, sf):
-        rows = completed(spark, sf, tuple(settings.keys))
-        return audit.audit_dashboard(rows, offers.raw_offers(spark, sf), settings)
+        return audit.audit_dashboard(*_audit_inputs(spark, sf, settings), settings)
 
     return query
 
@@ -493,9 +536,9 @@ def freshness(spark, sf):
     return checks.freshness({**now, "stale": stale}, today(spark, sf))
 
 
-def stream_unified(spark, sf):
+def stream_unified(spark, sf, keys=ITEM, shared=False):
     root = tables.scratch_dir(spark)
-    raw = offers.raw_offers(spark, sf)
+    raw = offers.raw_offers(spark, sf, shared=shared)
     raw.repartition(3).write.parquet(f"{root}/raw")
     query = stream_unify(
         spark,
@@ -503,6 +546,8 @@ def stream_unified(spark, sf):
         offers.RAW_SCHEMA,
         f"{root}/unified",
         f"{root}/checkpoint",
+        keys=keys,
+        by=_groups(keys),
         files_per_batch=2,
     )
     query.awaitTermination()
@@ -544,21 +589,29 @@ def queries() -> dict[str, Query]:
         "audit_dashboard": _dashboard(audit.DEFAULT),
         "audit_dashboard_by_slug": _dashboard(audit.BY_SLUG),
         "audit_dashboard_older": _dashboard(audit.OLDER),
+        "false_discounts_by_slug": _on_snapshot(audit.false_discounts, audit.BY_SLUG),
+        "raised_ref_price_by_slug": _raised(audit.BY_SLUG),
+        "false_discounts_older": _on_snapshot(audit.false_discounts, audit.OLDER),
+        "audit_snapshot_by_shop": _audited("snapshot", audit.BY_SHOP),
+        "false_discounts_by_shop": _on_snapshot(audit.false_discounts, audit.BY_SHOP),
+        "raised_ref_price_by_shop": _raised(audit.BY_SHOP),
+        "audit_dashboard_by_shop": _dashboard(audit.BY_SHOP),
         "stream_unify": stream_unified,
+        "stream_unify_by_shop": lambda spark, sf: stream_unified(spark, sf, BY_SHOP, shared=True),
     }
     for query in (
         recent_rows, recent_rows_by_date, unify_prices, unify_prices_daily, unify_prices_keyed,
-        item_count_check, merge_feeds,
+        unify_prices_by_shop, unify_prices_used_goods, item_count_check, item_count_check_by_shop, merge_feeds,
         active_items, calendar_days, date_item_grid, price_points, gap_fill, price_trend, common_price,
         price_changes, changes_since_up, last_change_v1, min_price_30d,
         latest_batch, latest_batch_by_shop, complete_prices, complete_prices_window,
-        complete_prices_by_slug, suspicious_prices,
+        complete_prices_by_slug, suspicious_prices, suspicious_prices_by_slug,
         latest_metadata, latest_metadata_by_slug, latest_metadata_wide,
         second_latest_load, recent_items_semi, dedupe_days, item_date_range, fill_history,
         history_changes, last_attributes, price_history, price_history_by_shop, price_history_by_slug,
         price_history_by_pkey, price_history_plain,
-        publish_metadata, publish_metadata_pkey, publish_history, publish_history_plain,
-        audit_stamp, false_discounts_partner, count_raised,
+        publish_metadata, publish_metadata_by_shop, publish_metadata_pkey, publish_history, publish_history_plain,
+        audit_stamp, audit_stamp_by_shop, false_discounts_partner, count_raised,
         migrate_unified, migrate_reference, migrate_complete,
         create_if_absent, upsert, upsert_unpartitioned, replace_table, dashboard_history,
         json_sink_roundtrip, json_sink_metadata, table_inventory, row_count_drift, freshness,

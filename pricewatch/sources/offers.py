@@ -26,10 +26,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_offers(spark: SparkSession, sf_dir: str, price_shift: int = 0, event_type: str | None = None) -> DataFrame:
+def raw_offers(
+    spark: SparkSession, sf_dir: str, price_shift: int = 0, event_type: str | None = None, shared: bool = False
+) -> DataFrame:
     """Events as raw offers; every text column keeps '' for a missing value.
 
-    A second feed is the events of one type with another price level.
+    A second feed is the events of one type with another price level. In the
+    `shared` form five shops of two origins sell the same item ids and slugs.
     """
     events = read_table(spark, sf_dir, "events")
     if event_type:
@@ -44,13 +47,15 @@ def raw_offers(spark: SparkSession, sf_dir: str, price_shift: int = 0, event_typ
     phase = (user + F.col("block")) % 3
     shop = F.element_at(F.array(*[F.lit(s) for s in SHOPS]), (user % 5 + 1).cast("int"))
     user_text = user.cast("string")
+    item = F.floor(user / 5).cast("string") if shared else user_text
+    origin = F.concat(F.lit("origin_"), (user % 5 % 2).cast("string")) if shared else F.lit("demo_origin")
     return events.withColumns({"block": block, "price": price}).select(
         shop.alias("shop"),
-        F.lit("demo_origin").alias("shopOrigin"),
-        F.when(F.col("event_id") % 211 == 0, "").otherwise(F.concat(F.lit("i"), user_text)).alias("itemId"),
+        origin.alias("shopOrigin"),
+        F.when(F.col("event_id") % 211 == 0, "").otherwise(F.concat(F.lit("i"), item)).alias("itemId"),
         F.concat(F.lit("Item "), user_text).alias("itemName"),
         F.concat(F.lit("https://shop.example/p/"), user_text).alias("itemUrl"),
-        F.when(user % 37 == 0, "").otherwise(F.concat(F.lit("p-"), user_text)).alias("slug"),
+        F.when(user % 37 == 0, "").otherwise(F.concat(F.lit("p-"), item)).alias("slug"),
         F.when(F.col("event_type") == "error", "").otherwise(F.col("price").cast("string")).alias("currentPrice"),
         F.when(phase == 1, claim.cast("string"))
         .when(phase == 2, F.col("price").cast("string"))

@@ -10,21 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.prices import not_blank
-from ..operators.unify import one_per_day, unify
+from ..operators.unify import one_per_day, rows_of_days, unify
 from ..sources import tables
 
 
-def _rows_of_days(raw: DataFrame, batch: DataFrame) -> DataFrame:
-    """All raw rows of the days in the batch, days read as `unify` reads them."""
-    dated = lambda df: df.where(not_blank("date")).withColumn("_day", F.to_date("date"))
-    days = dated(batch).select("_day").distinct()
-    return dated(raw).join(days, "_day", "left_semi").drop("_day")
-
-
 def stream_unify(
     spark: SparkSession,
     source_path: str,
@@ -43,7 +35,7 @@ def stream_unify(
 
     def apply(batch: DataFrame, _: int) -> None:
         raw = spark.read.schema(schema).parquet(source_path)
-        rows = one_per_day(unify(_rows_of_days(raw, batch), min_scope, by=by), keys)
+        rows = one_per_day(unify(rows_of_days(raw, batch), min_scope, by=by), keys)
         tables.upsert(rows, table_path, [*keys, "date"], partition_by="date", keep_stamp=True)
 
     reader = spark.readStream.schema(schema)
