@@ -90,7 +90,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.with_edits(_table(spark, sf_dir, "documents"))
+    return simhash.with_near(simhash.with_edits(_table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -220,3 +220,33 @@ def test_near_fingerprints_by_brute_force(spark, radius):
     known = sorted({h for h in hexed if h})
     pairs = {(a, b): (int(a, 16) ^ int(b, 16)).bit_count() for i, a in enumerate(known) for b in known[i + 1 :]}
     assert got == {p: d for p, d in pairs.items() if d <= radius}
+
+
+def test_near_counts_by_brute_force(spark):
+    """Hot blocks are dealt into chunks; counts and pairs stay those of brute force."""
+    random.seed(11)
+    base = random.getrandbits(64)
+    marks = {base ^ sum(1 << p for p in random.sample(range(64), random.randrange(4))) for _ in range(150)}
+    marks |= {random.getrandbits(64) for _ in range(100)} | {base & ~0xFFFFF | random.getrandbits(20) for _ in range(100)}
+    hexed = [f"{m:016x}" for m in marks] + [f"{base:016x}"] * 5 + [None]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(hexed)], "doc_id long, fingerprint string")
+    known = {base, *marks}
+    near = {f"{a:016x}": sum(a != b and (a ^ b).bit_count() <= 3 for b in known) for a in known}
+    for chunk in (8, 10_000):
+        got = simhash.with_near(df, chunk=chunk).collect()
+        assert len(got) == len(hexed) and all(r["n_near"] == near.get(r["fingerprint"], 0) for r in got)
+        assert simhash.near_pairs(df, chunk=chunk).count() == sum(near.values()) // 2
+
+
+def test_op10_finds_near_copies_that_are_not_neighbours(spark, tmp_path):
+    random.seed(12)
+    texts = [" ".join(f"w{random.randrange(5000)}" for _ in range(400)) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t + " end") for i, t in enumerate(texts[:5])]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op10_simhash(spark, str(tmp_path)).collect()}
+    marks = {int(r["fingerprint"], 16) for r in got.values()}
+    assert len(got) == len(rows)
+    for r in got.values():
+        mark = int(r["fingerprint"], 16)
+        assert r["n_near"] == sum(m != mark and (m ^ mark).bit_count() <= 3 for m in marks)
+    assert any(r["n_near"] for r in got.values())
