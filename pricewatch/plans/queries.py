@@ -483,6 +483,40 @@ def replace_table(spark, sf):
     return tables.read(spark, path).drop("_timestamp")
 
 
+def _whole_loads(spark, sf):
+    """A first load up to ten days before the end; a second, ten cheaper, of the last 15 days, claimed or not.
+
+    Every row, one without a day too, is in one of them; five days are in both.
+    """
+    rows = unified(spark, sf)
+    as_of = today(spark, sf)
+    first = rows.where((F.col("date") <= days_before(as_of, 10)) | F.col("date").isNull())
+    cheaper = (F.col("currentPrice") - 10).cast("decimal(12,2)")
+    return first, rows.where(F.col("date") >= days_before(as_of, 15)).withColumn("currentPrice", cheaper)
+
+
+def upsert_whole(spark, sf):
+    path = f"{tables.scratch_dir(spark)}/unified"
+    for load in _whole_loads(spark, sf):
+        tables.upsert(load, path, ["itemId", "date"], partition_by="date", keep_stamp=True)
+    return tables.read(spark, path)
+
+
+def upsert_unpartitioned_whole(spark, sf):
+    path = f"{tables.scratch_dir(spark)}/unified"
+    for load in _whole_loads(spark, sf):
+        tables.upsert(load, path, ["itemId", "date"], keep_stamp=True)
+    return tables.read(spark, path)
+
+
+def replace_table_whole(spark, sf):
+    """The first load, then all rows in its place."""
+    path = f"{tables.scratch_dir(spark)}/unified"
+    for load in (_whole_loads(spark, sf)[0], unified(spark, sf)):
+        tables.replace(load, path)
+    return tables.read(spark, path).drop("_timestamp")
+
+
 def dashboard_history(spark, sf):
     """The dashboard of two audits with different windows: same stamp, so the history keeps the second."""
     root = tables.scratch_dir(spark)
@@ -613,7 +647,8 @@ def queries() -> dict[str, Query]:
         publish_metadata, publish_metadata_by_shop, publish_metadata_pkey, publish_history, publish_history_plain,
         audit_stamp, audit_stamp_by_shop, false_discounts_partner, count_raised,
         migrate_unified, migrate_reference, migrate_complete,
-        create_if_absent, upsert, upsert_unpartitioned, replace_table, dashboard_history,
+        create_if_absent, upsert, upsert_unpartitioned, replace_table,
+        upsert_whole, upsert_unpartitioned_whole, replace_table_whole, dashboard_history,
         json_sink_roundtrip, json_sink_metadata, table_inventory, row_count_drift, freshness,
     ):
         named[query.__name__] = query

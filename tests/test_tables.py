@@ -5,8 +5,9 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from pricewatch.plans import queries as registered
 from pricewatch.sources import checks, documents, tables
-from tests.conftest import day
+from tests.conftest import SF, day
 
 
 def rows(spark, values, columns="k string, v int"):
@@ -213,3 +214,10 @@ def test_null_keys_are_replaced_and_kept(spark, path, partition_by):
     got = sorted(((r["k"], r["d"] and str(r["d"]), r["v"]) for r in tables.read(spark, path).collect()), key=str)
     assert got == sorted([("a", None, 1), (None, None, 7), (None, "2024-01-01", 3), ("b", "2024-01-02", 4)], key=str)
     assert not [n for n in os.listdir(path) if n.startswith(("_staging", "_pending"))]
+
+
+def test_loads_of_the_whole_queries_hold_every_row(spark):
+    keys = {(r["itemId"], r["date"]) for r in registered.unified(spark, SF).select("itemId", "date").collect()}
+    for name in ("upsert_whole", "upsert_unpartitioned_whole", "replace_table_whole"):
+        rows = registered.queries()[name](spark, SF).select("itemId", "date").collect()
+        assert len(rows) == len(keys) and {tuple(r) for r in rows} == keys
