@@ -421,6 +421,7 @@ def _parts() -> dict[str, str]:
         **_history("_h", "complete"),
         **_history("_hall", "complete", recent=False),
         **_history("_hslug", "complete_slug", SLUG, like="%-11%"),
+        **_history("_hslugwhole", "complete_slug", SLUG),
         **_history("_hshop", "complete_shop", SHOP, shop=True),
         **_audit("", "complete", 90),
         **_audit("_short", "complete", 12),
@@ -576,6 +577,7 @@ def _bodies() -> dict[str, str]:
         "last_attributes": "select * from attr_h",
         "price_history": "select * from documents_h",
         "price_history_by_slug": _document("_hslug", SLUG),
+        "price_history_by_slug_whole": _document("_hslugwhole", SLUG),
         "price_history_by_shop": _document("_hshop", SHOP),
         "price_history_by_pkey": """
         select a.p_key, cast(to_json(list({'d': k.d, 'o': replace(coalesce(cast(k.o as varchar), ''), '.00', ''),
@@ -587,6 +589,12 @@ def _bodies() -> dict[str, str]:
         from kept_hall k join attr_hall a using ("itemId")
         where a.slug <> '' and k."itemId" in (select "itemId" from kept_hall, today where d > t - {RECENT})
         group by 1, 2, 3""",
+        "price_history_plain_whole": """
+        select k."itemId", a.slug, a.shop_id,
+               cast(to_json(list({'d': k.d, 'o': cast(k.o as double), 'c': cast(k.c as double)} order by k.d)) as varchar) as json
+        from kept_hall k join attr_hall a using ("itemId")
+        where a.slug <> ''
+        group by 1, 2, 3""",
         "shop_domain": f"""
         select shop, {_domain('shop')} as shop_id from (select shop from raw union select source from documents)""",
         "publish_metadata": "select * from published_meta",

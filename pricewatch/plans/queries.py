@@ -309,6 +309,12 @@ def price_history_by_slug(spark, sf):
     return json_text(history.price_history(rows, today(spark, sf), BY_SLUG, skip_slugs_like="%-11%"))
 
 
+def price_history_by_slug_whole(spark, sf):
+    """No slug is left out."""
+    rows = completed(spark, sf, BY_SLUG)
+    return json_text(history.price_history(rows, today(spark, sf), BY_SLUG))
+
+
 def price_history_by_pkey(spark, sf):
     rows = history.price_history_by_pkey(completed(spark, sf), today(spark, sf))
     return rows.withColumn("json", F.to_json("json"))
@@ -318,6 +324,10 @@ def price_history_plain(spark, sf):
     return json_text(history.price_history_plain(completed(spark, sf), today(spark, sf), RECENT_DAYS))
 
 
+def price_history_plain_whole(spark, sf):
+    return json_text(history.price_history_plain(completed(spark, sf), today(spark, sf)))
+
+
 # --- stage 06 ---------------------------------------------------------------
 
 
@@ -643,7 +653,7 @@ def queries() -> dict[str, Query]:
         latest_metadata, latest_metadata_by_slug, latest_metadata_wide,
         second_latest_load, recent_items_semi, dedupe_days, item_date_range, fill_history,
         history_changes, last_attributes, price_history, price_history_by_shop, price_history_by_slug,
-        price_history_by_pkey, price_history_plain,
+        price_history_by_pkey, price_history_plain, price_history_by_slug_whole, price_history_plain_whole,
         publish_metadata, publish_metadata_by_shop, publish_metadata_pkey, publish_history, publish_history_plain,
         audit_stamp, audit_stamp_by_shop, false_discounts_partner, count_raised,
         migrate_unified, migrate_reference, migrate_complete,

@@ -4,7 +4,8 @@ import random
 from pyspark.sql import functions as F
 
 from pricewatch.operators import history
-from tests.conftest import completed, day, price, unified_row
+from pricewatch.plans import queries as registered
+from tests.conftest import SF, completed, day, price, unified_row
 
 ONE = datetime.timedelta(1)
 
@@ -140,3 +141,12 @@ def test_relabelled_shop_is_one_row_with_the_last_values(spark):
     rows = [unified_row("i", "2024-01-01", 10, shop="alfa_cz", slug="old"), unified_row("i", "2024-01-02", 11, shop="alfa.cz", slug="new")]
     (r,) = history.last_attributes(completed(spark, rows), recent_only=False).collect()
     assert r["slug"] == "new"
+
+
+def test_whole_histories_keep_every_item_with_a_slug(spark):
+    """Ordinary items such as p-11, and items without a recent change, are in the whole forms."""
+    found = {r["slug"] for r in registered.queries()["price_history_by_slug_whole"](spark, SF).collect()}
+    cut = {r["slug"] for r in registered.queries()["price_history_by_slug"](spark, SF).collect()}
+    assert cut < found and {s for s in found if "-11" in s} == found - cut
+    items = {r["itemId"] for r in registered.completed(spark, SF).where("slug <> ''").select("itemId").collect()}
+    assert {r["itemId"] for r in registered.queries()["price_history_plain_whole"](spark, SF).collect()} == items
