@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, whole."""
+"""The thirteen operators as queries over the given tables, whole."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, lm, minhash, mixing, quality, sharding, simhash, toxicity, warc
+from . import chat, decontaminate, lm, manifest, minhash, mixing, packing, phrases, quality, sharding, simhash, toxicity, warc
 from .common import crc, shared_dir, stored
 
 #: What conversation -1 says, twice (fixed value).
@@ -93,6 +93,33 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_near(simhash.with_edits(_table(spark, sf_dir, "documents")))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(_table(spark, sf_dir, "documents"), capacity=1024, carry=("ids_crc32",))
+    return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"), least=30, order=4, most=2000, percent=80)
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth document's text is changed after its proof was made."""
+    docs = _table(spark, sf_dir, "documents")
+    changed = [manifest.lowered() if c == "text" else F.col(c) for c in manifest.FIELDS]
+    now = F.when(_remainder(5) == 0, manifest.leaf(changed)).otherwise(manifest.leaf([F.col(c) for c in manifest.FIELDS]))
+    proved = manifest.proofs(docs, carry={"now": now})
+    proved = proved.withColumn("folded_root", manifest.folded(F.col("now"), F.col("segment")))
+    return proved.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.proof_digest(F.col("segment")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_chat_format,
@@ -105,5 +132,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontamination,
         op9_warc,
         op10_simhash,
+        op11_packing,
+        op12_phrases,
+        op13_manifest,
     )
     return {f.__name__: f for f in found}
