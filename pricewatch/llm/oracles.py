@@ -98,6 +98,92 @@ select page_id, payload_bytes, payload_digest, case when page_id = newest then '
 from coded
 """
 
+_OP12 = rf"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+),
+worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, sum(len(w))::bigint as n from worded group by lang),
+grams as (
+    select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase
+    from worded, unnest([1, 2, 3, 4]) as t(k), unnest(range(1, len(w) - k + 2)) as u(i)
+),
+f as (select lang, k, phrase, count(*) as f from grams group by lang, k, phrase),
+candidates as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from f where k > 1 and f >= 30),
+cuts as (
+    select c.lang, c.k, c.phrase, c.a, x.f as l, y.f as r, cut, (2000000::hugeint * c.a) // (x.f + y.f) as score
+    from (select *, unnest(range(1, k)) as cut from candidates) c
+    join f x on x.lang = c.lang and x.phrase = array_to_string(c.w[1 : cut], ' ')
+    join f y on y.lang = c.lang and y.phrase = array_to_string(c.w[cut + 1 :], ' ')
+),
+lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+inside as (
+    select lang, array_to_string(w[i : i + m - 1], ' ') as phrase, max(a) as longer
+    from candidates, unnest(range(2, k)) as t(m), unnest(range(1, k - m + 2)) as u(i) group by all
+),
+kept as (
+    select c.* from lowest c left join inside i on c.lang = i.lang and c.phrase = i.phrase
+    where coalesce(100::hugeint * i.longer < 80::hugeint * c.a, true)
+),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select k.lang, k.rank, k.phrase, k.a, k.l, k.r, t.n, k.score::bigint as score from ranked k join totals t on k.lang = t.lang where k.rank <= 2000
+"""
+
+#: CRC-32 by bits: a character is taken in, then shifted out eight times.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split({0}::varchar, ''),
+    lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: case when x >= 0 then xor(a, x) when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end))"""
+
+
+def _tree(name: str, start: str, start_paths: str, levels: int = 6) -> str:
+    """Levels of trees over (tree, pos, digest, n), and paths (row, tree, pos, now, others) up them."""
+    made = [f"{name}_0 as ({start})", f"{name}_paths_0 as ({start_paths})"]
+    for k in range(levels):
+        made.append(f"""{name}_runs_{k} as (
+    select tree, pos // 16 as pos, list(digest order by pos) as run, any_value(n) as n from {name}_{k} group by tree, pos // 16)""")
+        made.append(f"""{name}_{k + 1} as (
+    select tree, pos, case when n = 1 then run[1] else sha256(array_to_string(run, '')) end as digest, (n + 15) // 16 as n from {name}_runs_{k})""")
+        made.append(f"""{name}_paths_{k + 1} as (
+    select p.row, p.tree, p.pos // 16 as pos,
+        case when n = 1 then now
+            else sha256(array_to_string(run[1 : p.pos % 16], '') || now || array_to_string(run[p.pos % 16 + 2 :], '')) end as now,
+        case when n = 1 then others
+            else others || array_to_string(run[1 : p.pos % 16], '') || array_to_string(run[p.pos % 16 + 2 :], '') end as others
+    from {name}_paths_{k} p join {name}_runs_{k} r on p.tree = r.tree and p.pos // 16 = r.pos)""")
+    return ",\n".join(made)
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::varchar)::varchar || ':' || {value}::varchar, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_OP13 = f"""
+with hashed as (
+    select doc_id, source, {_leaf("text")} as leaf,
+        case when {_CRC.format("doc_id")} % 5 = 0 then {_leaf(_LOWER.format("text"))} else {_leaf("text")} end as now
+    from documents
+),
+trees as (select source, row_number() over (order by source nulls first) - 1 as tree from (select distinct source from documents)),
+leaves as (
+    select row_number() over () as row, doc_id, leaf, now, tree,
+        row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by tree) as n
+    from hashed h join trees t on h.source is not distinct from t.source
+),
+{_tree("own", "select tree, pos, leaf as digest, n from leaves", "select row, tree, pos, now, '' as others from leaves")},
+{_tree(
+    "top",
+    "select 0 as tree, tree as pos, digest, count(*) over () as n from own_6",
+    "select row, 0 as tree, tree as pos, now, others from own_paths_6",
+)}
+select l.doc_id, l.leaf, s.digest as subroot, r.digest as root, sha256(p.others) as proof_sha256, p.now as folded_root, p.now = r.digest as verified
+from leaves l join own_6 s on l.tree = s.tree join top_paths_6 p on l.row = p.row cross join top_6 r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": _OP1, "op7_minhash": _OP7, "op8_decontamination": _OP8, "op9_warc": _OP9}
+    return {"op1_chat_format": _OP1, "op7_minhash": _OP7, "op8_decontamination": _OP8, "op9_warc": _OP9, "op12_phrases": _OP12, "op13_manifest": _OP13}
