@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import WordHashes, mix, partitions, shared_dir, small_batches, stored, words
-from .files import columns, mapped, write_file
+from .files import mapped, write_file
 
 #: Tokens counted or scored together by one worker.
 BLOCK = 1_500_000
@@ -112,13 +112,23 @@ class _Blocks:
         return hashes, _pair_keys(hashes, starts, self.start), starts
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Counts as 32-bit numbers where they all fit, as 64-bit ones elsewhere."""
+    return values.astype(np.uint32 if not values.size or int(values.max()) < 2**32 else np.uint64).tobytes()
+
+
+def unpacked(raw, n: int) -> np.ndarray:
+    """`n` counts of `packed`, of either width."""
+    return np.frombuffer(raw, np.uint64 if n and len(raw) == 8 * n else np.uint32).astype(np.int64)
+
+
 def _counting(bits: int):
     def emit(block: _Blocks):
         hashes, pairs, _ = block.arrays()
         for kind, values in (("word", hashes), ("pair", pairs)):
             keys, counts = np.unique(values, return_counts=True)
             cuts = _cuts(keys, bits)
-            rows = [(s, keys[i:j].tobytes(), counts[i:j].astype(np.uint32).tobytes()) for s, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
+            rows = [(s, keys[i:j].tobytes(), packed(counts[i:j])) for s, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
             yield pa.record_batch(
                 [pa.array([kind] * len(rows)), pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2)]],
                 names=["kind", "shard", "keys", "counts"],
@@ -138,10 +148,10 @@ def _counting(bits: int):
     return run
 
 
-def _joined(table: pa.Table, dtype, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([np.frombuffer(b.as_py(), np.uint64) for b in table.column("keys")])
-    values = np.concatenate([np.frombuffer(b.as_py(), dtype) for b in table.column("counts")]).astype(np.int64)
-    return keys, values.reshape(-1, width)
+def _joined(table: pa.Table, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    keys = [np.frombuffer(b.as_py(), np.uint64) for b in table.column("keys")]
+    values = [unpacked(b.as_py(), width * len(k)) for b, k in zip(table.column("counts"), keys, strict=True)]
+    return np.concatenate(keys), np.concatenate(values).reshape(-1, width)
 
 
 def _counts_of_counts(values: np.ndarray) -> list[int]:
@@ -153,9 +163,9 @@ def _add_up_pairs(folder: str, bits: int):
 
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        keys, counts = _summed(*_joined(table, np.uint32))
+        keys, counts = _summed(*_joined(table))
         counts = counts[:, 0]
-        file = write_file(f"{folder}/model", f"pairs-{shard}", [keys.tobytes(), np.minimum(counts, 2**32 - 1).astype(np.uint32).tobytes()])
+        file = write_file(f"{folder}/model", f"pairs-{shard}", [keys.tobytes(), packed(counts), np.int64(len(keys)).tobytes()])
         both = _inverse(keys)
         once, twice = counts == 1, counts == 2
         begins, starts = _summed(both >> HALF << HALF, np.stack([counts, once, twice, ~once & ~twice, np.zeros_like(counts)], 1))
@@ -163,7 +173,7 @@ def _add_up_pairs(folder: str, bits: int):
         follows = np.concatenate([np.zeros((len(ends), 4), np.int64), follows], 1)
         words_of, parts = _summed(np.concatenate([begins, ends]), np.concatenate([starts, follows]))
         cuts = _cuts(words_of, bits)
-        rows = [("share", s, None, words_of[i:j].tobytes(), parts[i:j].astype(np.uint32).tobytes(), None) for s, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
+        rows = [("share", s, None, words_of[i:j].tobytes(), packed(parts[i:j]), None) for s, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
         rows.append(("pairs", shard, file, None, None, _counts_of_counts(counts)))
         return _table(rows)
 
@@ -177,8 +187,8 @@ def _add_up_words(folder: str):
         shard = table.column("shard")[0].as_py()
         is_share = pa.compute.equal(table.column("kind"), "share")
         own, shares = table.filter(pa.compute.invert(is_share)), table.filter(is_share)
-        keys, counts = _summed(*_joined(own, np.uint32)) if len(own) else (np.empty(0, np.uint64), np.empty((0, 1), np.int64))
-        halves, sums = _summed(*_joined(shares, np.uint32, 5)) if len(shares) else (np.empty(0, np.uint64), np.empty((0, 5), np.int64))
+        keys, counts = _summed(*_joined(own)) if len(own) else (np.empty(0, np.uint64), np.empty((0, 1), np.int64))
+        halves, sums = _summed(*_joined(shares, 5)) if len(shares) else (np.empty(0, np.uint64), np.empty((0, 5), np.int64))
         own_file = write_file(f"{folder}/model", f"words-{shard}", [keys.tobytes(), counts[:, 0].tobytes(), halves.tobytes(), sums.T.astype(np.int64).tobytes(), np.array([len(keys), len(halves)], np.int64).tobytes()])
         follows = sums[:, 4]
         totals = [int(counts.sum()), len(keys), int(follows.sum()), int((follows > 0).sum()), *_counts_of_counts(follows)]
@@ -240,8 +250,8 @@ def _first_sum(folder: str, bits: int):
     def run(table: pa.Table) -> pa.Table:
         if table.column("kind")[0].as_py() == "pair":
             return add_pairs(table)
-        keys, counts = _summed(*_joined(table, np.uint32))
-        return _table([("word", table.column("shard")[0].as_py(), None, keys.tobytes(), counts[:, 0].astype(np.uint32).tobytes(), None)])
+        keys, counts = _summed(*_joined(table))
+        return _table([("word", table.column("shard")[0].as_py(), None, keys.tobytes(), packed(counts[:, 0]), None)])
 
     return run
 
@@ -264,7 +274,7 @@ class _Tables:
         for s, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             if j > i and (uri := self.model.pairs[s]):
                 if s not in self.pair_files:
-                    self.pair_files[s] = columns(mapped(uri), [np.uint64, np.uint32])
+                    self.pair_files[s] = _pair_arrays(mapped(uri))
                 table, counts = self.pair_files[s]
                 at, there = self._find(keys[i:j], table)
                 out[i:j] = np.where(there, counts[at], 0)
@@ -288,6 +298,12 @@ class _Tables:
         return counts, facts
 
 
+def _pair_arrays(raw: memoryview):
+    n = int(np.frombuffer(raw[-8:], np.int64)[0])
+    wide = len(raw) == 16 * n + 8
+    return np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.uint64 if wide else np.uint32, n, 8 * n)
+
+
 def _word_arrays(raw: memoryview):
     n, m = (int(v) for v in np.frombuffer(raw[-16:], np.int64))
     keys, counts = np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.int64, n, 8 * n)
