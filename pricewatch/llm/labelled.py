@@ -11,16 +11,19 @@ def labelled_sample(
     labels: DataFrame,
     label: str,
     allowed: Column,
-    per_label: int,
-    most_bytes: int,
+    per_label: int = 2000,
+    label_bytes: int = 24 << 20,
+    text_bytes: int = 4 << 20,
     doc_id: str = "doc_id",
     text_col: str = "text",
 ) -> tuple[list[bytes], np.ndarray, float]:
-    """Texts and labels of at most `per_label` rows a label, cut after `most_bytes`; the share of label 1 among all allowed.
+    """Texts and labels of a bounded sample, and the share of label 1 among all allowed rows.
 
-    This is the documented bound of what a classifier is fitted on: rows are taken in
-    the order of a hash of their id, so that a rerun takes the same ones, and
-    the driver gets at most 2 * per_label * most_bytes. `allowed` is a condition
+    The documented bound of what a classifier is fitted on: of each label the rows
+    with the lowest hashes of their id, at most `per_label`, for as long as their texts add up to
+    at most `label_bytes` (the first one is always taken). Texts are whole; only one of more than
+    `text_bytes` is given by windows from all over it. So the driver gets at most
+    2 * label_bytes, and a rerun takes the same rows. `allowed` is a condition
     on the id: no label of another row is read. Null texts, ids and labels are not sampled.
     """
     key = F.xxhash64(F.lit(17), F.col("_id"))
@@ -29,17 +32,35 @@ def labelled_sample(
     picked = known.where("_label = 0").orderBy(key, "_id").limit(per_label).union(
         known.where("_label = 1").orderBy(key, "_id").limit(per_label)
     )
-    # At most 2 * per_label rows, so the texts need no shuffle.
-    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text_col).cast("binary").alias("_text"))
-    rows = (
-        texts.join(F.broadcast(picked), "_id")
-        .where("_text is not null")
-        .select("_id", "_label", F.substring("_text", 1, most_bytes).alias("_text"))
-        .collect()
-    )
+    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text_col).cast("binary").alias("_text")).where("_text is not null")
+    # At most 2 * per_label ids, so the texts need no shuffle; first their lengths only.
+    lengths = texts.join(F.broadcast(picked), "_id").select("_label", "_id", key.alias("_key"), F.octet_length("_text").alias("_n")).collect()
+    chosen, room, last = [], {0: label_bytes, 1: label_bytes}, {}
+    for row in sorted(lengths, key=lambda r: (r["_label"], r["_key"], r["_id"], r["_n"])):
+        kind, size = row["_label"], min(row["_n"], text_bytes)
+        if last.get(kind) == row["_id"]:  # rows that share an id come together
+            room[kind] -= size
+        elif room[kind] >= size or kind not in last:
+            chosen.append((row["_id"], kind))
+            room[kind] -= size
+            last[kind] = row["_id"]
     share = known.agg(F.avg("_label")).first()[0]
+    share = 0.5 if share is None else float(share)
+    if not chosen:
+        return [], np.empty(0), share
+    chosen = docs.sparkSession.createDataFrame(chosen, f"_id {known.schema['_id'].dataType.simpleString()}, _label int")
+    rows = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", whole_or_windows(F.col("_text"), text_bytes).alias("_text")).collect()
     rows.sort(key=lambda r: (r["_id"], r["_label"], bytes(r["_text"])))
-    return [bytes(r["_text"]) for r in rows], np.array([r["_label"] for r in rows], np.float64), 0.5 if share is None else float(share)
+    return [bytes(r["_text"]) for r in rows], np.array([r["_label"] for r in rows], np.float64), share
+
+
+def whole_or_windows(text: Column, most: int, window: int = 4096) -> Column:
+    """The bytes of a text; of a text longer than `most`, as many windows as that holds, evenly spread from its start to its end."""
+    n, count = F.octet_length(text), max(1, most // window)
+    start = lambda i: (F.floor(i * (n - window) / max(1, count - 1)) + 1).cast("int")
+    windows = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.substring(text, start(i), F.lit(window)))
+    joined = F.aggregate(windows, F.lit(b""), lambda done, part: F.concat(done, part))
+    return F.when(n > most, joined).otherwise(text)
 
 
 def sigmoid(x):

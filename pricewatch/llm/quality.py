@@ -7,7 +7,7 @@ difference of the two sizes and the smaller text's size itself, both by the
 text's length (a word repeated a hundred times is small under either), and a logistic
 curve fitted on labelled texts that the dictionaries never saw makes a score of it.
 
-Fitting takes a bounded sample of labelled rows (`per_label`, `most_bytes`) to the
+Fitting takes a bounded sample of labelled rows (`labelled_sample`) with their whole texts to the
 driver; scoring runs where the documents are, and sends nothing but scores.
 
 Cases. Null and empty texts have no evidence and get the curve's value for no
@@ -100,6 +100,6 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text", score: st
     return scored.withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
 
 
-def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_label: int = 2000, most_bytes: int = 8192) -> Model:
+def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, **bounds: int) -> Model:
     """Fit on a bounded sample of the allowed labels."""
-    return fit(*labelled_sample(docs, labels, label, allowed, per_label, most_bytes))
+    return fit(*labelled_sample(docs, labels, label, allowed, **bounds))

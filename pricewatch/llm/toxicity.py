@@ -7,12 +7,16 @@ toxic from not. So a misspelt word that was never seen still carries the vectors
 of the n-grams it shares. As the classifier is linear in the mean, a text is
 scored with one number a bucket: the embedding's share of the softmax margin.
 
-A few insults in a long text would drown in the whole text's mean, so means are
+A few insults in a long text would drown in the whole text's mean, so in the second half of the
+training a text is the worst passage that the first half found in it, and when scoring means are
 taken over overlapping windows of `window` bytes and the text gets its worst
-window; windows cover the whole text. A logistic curve, fitted on part of the
+window. Windows cover the whole text: a word is left out only where it occurred less than
+`REPEAT` bytes before, so that a word said over and over is one piece of evidence, and a
+passage is scored where it stands, whatever was said earlier. Long texts are gone through in
+stretches, so a worker holds a text and a fixed amount beside it. A logistic curve, fitted on part of the
 sample that the embeddings never saw, turns that margin into the score.
 
-Training takes a bounded sample of labelled rows (`per_label`, `most_bytes`) to
+Training takes a bounded sample of labelled rows (`labelled_sample`) with their whole texts to
 the driver; everything else runs where the documents are.
 
 Cases. Null and empty texts have no n-grams and get the curve's value for a
@@ -23,6 +27,7 @@ null id is kept. Labels, languages and sources are never read when scoring.
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 import numpy as np
@@ -34,6 +39,10 @@ from .labelled import labelled_sample, logistic, sigmoid
 
 BITS, DIM, SIZES = 18, 8, (3, 4, 5, 6)
 BLANK = -50.0
+REPEAT = 240
+STRETCH = 1 << 16
+
+_blank = re.compile(rb"[\x20\x09-\x0D]")
 
 
 class Model(NamedTuple):
@@ -44,9 +53,36 @@ class Model(NamedTuple):
     window: int
 
 
-def cleaned(text: bytes | None) -> bytes:
-    """The distinct words in order of their first place, each between blanks: a repeated word is one piece of evidence."""
-    return b" " + b" ".join(dict.fromkeys(words(text))) + b" "
+def _cuts(text: bytes):
+    """Begin and end of the stretches of a text: behind a word, or within one that is longer than a stretch."""
+    begin = 0
+    while begin < len(text):
+        found = _blank.search(text, begin + STRETCH, begin + 2 * STRETCH)
+        end = found.start() if found else min(begin + 2 * STRETCH, len(text))
+        yield begin, end
+        begin = end
+
+
+def cleaned(text: bytes | None, overlap: int = 0):
+    """Stretches of lower-case words, each between blanks; a word that occurred less than `REPEAT` bytes before is left out.
+
+    A stretch begins with the last words of the one before, up to `overlap` bytes of them.
+    """
+    at, seen, tail = 0, {}, []
+    for begin, end in _cuts(text or b""):
+        part = tail
+        for word in words(text[begin:end]):
+            if at - seen.get(word, -REPEAT) >= REPEAT:
+                seen[word] = at
+                at += len(word) + 1
+                part.append(word)
+        yield b" " + b" ".join(part) + b" "
+        seen = {w: p for w, p in seen.items() if at - p < REPEAT}
+        size, first = 0, len(part)
+        while first and size + len(part[first - 1]) < overlap:
+            first -= 1
+            size += len(part[first]) + 1
+        tail = part[first:]
 
 
 def _grams(clean: bytes):
@@ -69,14 +105,28 @@ def _grams(clean: bytes):
 
 
 def bag(text: bytes | None) -> np.ndarray:
-    """Buckets of all n-grams."""
-    found = [buckets[inside] for buckets, inside in _grams(cleaned(text))]
+    """Buckets of the n-grams of all distinct words: what a labelled text teaches."""
+    clean = b" " + b" ".join(dict.fromkeys(words(text))) + b" "
+    found = [buckets[inside] for buckets, inside in _grams(clean)]
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
 def margin(text: bytes | None, model: Model) -> float:
     """The largest softmax margin of any window."""
-    clean = cleaned(text)
+    return worst(text, model)[0]
+
+
+def worst(text: bytes | None, model: Model) -> tuple[float, bytes]:
+    """The largest softmax margin of any window, and what stands in it and a window to either side."""
+    found = [(*_margin(clean, model), clean) for clean in cleaned(text, 2 * model.window)]
+    if not found:
+        return BLANK, b""
+    most, at, clean = max(found, key=lambda f: f[0])
+    return most, clean[max(0, at - model.window) : at + 2 * model.window]
+
+
+def _margin(clean: bytes, model: Model) -> tuple[float, int]:
+    """The largest margin of a stretch, and where its window begins."""
     size = len(clean)
     total, count = np.zeros(size, np.float32), np.zeros(size, np.int16)
     for buckets, inside in _grams(clean):
@@ -86,11 +136,13 @@ def margin(text: bytes | None, model: Model) -> float:
     total = np.add.reduceat(total, cells, dtype=np.float64)
     count = np.add.reduceat(count, cells, dtype=np.float64)
     if not count.any():
-        return BLANK
+        return BLANK, 0
     if len(cells) > 1:  # a window is two neighbouring cells
         total, count = total[:-1] + total[1:], count[:-1] + count[1:]
     # A short window's mean is pulled towards no evidence.
-    return float((total / (count + model.window / 4) + model.bias)[count > 0].max())
+    margins = np.where(count > 0, total / (count + model.window / 4) + model.bias, -np.inf)
+    at = int(margins.argmax())
+    return float(margins[at]), int(cells[at])
 
 
 def fit(
@@ -115,7 +167,13 @@ def fit(
     sum_emb, sum_soft, sum_bias = np.full(2**BITS, 1e-6, np.float32), np.full((2, DIM), 1e-6), np.full(2, 1e-6)
     weight = np.where(target == 1, 0.5 / target.mean(), 0.5 / (1 - target.mean()))
     rate = 0.5
-    for _ in range(max(1, -(-steps // max(1, -(-len(learn) // batch))))):
+    rounds = max(2, -(-steps // max(1, -(-len(learn) // batch))))
+    for turn in range(rounds):
+        if turn == rounds // 2:
+            # What a label stands for is a passage: from here on each text is its worst one.
+            now = Model((emb @ (soft[1] - soft[0])).astype(np.float32), float(bias[1] - bias[0]), 1.0, 0.0, window)
+            parts = {int(i): bag(worst(texts[i], now)[1]).astype(np.int32) for i in learn}
+            bags |= {i: found for i, found in parts.items() if len(found)}
         random.shuffle(learn)
         for at in range(0, len(learn), batch):
             part = learn[at : at + batch]
@@ -168,8 +226,8 @@ def score_texts(docs: DataFrame, model: Model, held_out: Column, doc_id: str = "
 
 
 def classify(
-    docs: DataFrame, labels: DataFrame, label: str, allowed: Column, held_out: Column, per_label: int = 2000, most_bytes: int = 4096
+    docs: DataFrame, labels: DataFrame, label: str, allowed: Column, held_out: Column, **bounds: int
 ) -> DataFrame:
     """Fit on a bounded sample of the allowed labels, score every document."""
-    texts, target, share = labelled_sample(docs, labels, label, allowed, per_label, most_bytes)
+    texts, target, share = labelled_sample(docs, labels, label, allowed, **bounds)
     return score_texts(docs, fit(texts, target, share), held_out)
