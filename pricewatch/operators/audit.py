@@ -75,16 +75,23 @@ OLDER = AuditSettings(window_days=30, whole_percents=False, exclude_type_4=False
 
 
 def audit_stamp(raw: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One row: newest scrape minute, and the shop whose offers carry it; with `by` a row per shop with its minute."""
-    minute = F.left("date", F.lit(16))
+    """One row: newest scrape minute, and the origin whose offers carry it; with `by` a row per shop with its minute.
+
+    `raw` may be the raw offers or the side table of stored ones (`raw.loads`), which has the newest
+    scrape of each load. Several origins in one minute are several shops: that is an error, give `by`.
+    """
+    scraped = "last_scrape" if "last_scrape" in raw.columns else "date"
+    minute = F.left(scraped, F.lit(16))
     if by:
-        return raw.where(not_blank("date")).groupBy(*by).agg(F.max(minute).alias("aktualizace"))
+        return raw.where(not_blank(scraped)).groupBy(*by).agg(F.max(minute).alias("aktualizace"))
     latest = raw.agg(F.max(minute)).scalar()
+    origin = F.when(not_blank("shopOrigin"), F.col("shopOrigin"))
+    several = F.concat(F.lit("several origins in the last minute: "), F.min(origin), F.lit(", "), F.max(origin))
     return (
-        raw.where(F.col("date") >= latest)
+        raw.where(F.col(scraped) >= latest)
         .where(minute == latest)
         .agg(
-            F.min(F.when(not_blank("shopOrigin"), F.col("shopOrigin"))).alias("shop"),
+            F.when(F.min(origin) < F.max(origin), F.raise_error(several)).otherwise(F.min(origin)).alias("shop"),
             F.max(minute).alias("aktualizace"),
         )
     )

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.days import as_day
 from ..functions.frames import nulls_last, with_table_value
 from ..functions.prices import not_blank, plain_price_text, shop_domain
+from ..sources.tables import in_set, newest_loads
 
 ITEM = ("itemId",)
 WIDE_PRICE = "decimal(20,2)"
@@ -27,7 +28,10 @@ Day = date | Column | None
 
 
 def second_latest_load(complete: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Load time before the newest one; NULL when there is only one load."""
+    """Load time before the newest one; NULL when there is only one load.
+
+    `complete` may be the table's rows or its side table (`tables.loads`): the loads are the same.
+    """
     older = with_table_value(complete, complete, F.max("_timestamp"), "newest_load", by).where(
         F.col("_timestamp") < F.col("newest_load")
     )
@@ -45,9 +49,14 @@ def _with_load_limit(rows: DataFrame, limits: DataFrame, by: Sequence[str]) -> D
     return rows.withColumn("load_limit", limits.scalar())
 
 
-def items_changed_since(complete: DataFrame, keys: Sequence[str] = ITEM, by: Sequence[str] = ()) -> DataFrame:
-    """Items that took part in one of the last two loads; the scan reads only those loads."""
-    rows = _with_load_limit(complete, _load_limits(complete, by), by)
+def items_changed_since(
+    complete: DataFrame, keys: Sequence[str] = ITEM, by: Sequence[str] = (), loads: DataFrame | None = None
+) -> DataFrame:
+    """Items that took part in one of the last two loads; with the side table `loads` only the days of these are read."""
+    limits = _load_limits(complete if loads is None else loads, by)
+    if loads is not None:
+        complete = in_set(complete, "date", newest_loads(loads, 2, by).select("date"))
+    rows = _with_load_limit(complete, limits, by)
     return rows.where(F.col("_timestamp") >= F.col("load_limit")).select(*keys).distinct()
 
 
@@ -59,9 +68,11 @@ def _recent_span(
     return _with_load_limit(items, limits, by).where(F.col("last_load") >= F.col("load_limit"))
 
 
-def recent_items_only(complete: DataFrame, keys: Sequence[str] = ITEM, by: Sequence[str] = ()) -> DataFrame:
+def recent_items_only(
+    complete: DataFrame, keys: Sequence[str] = ITEM, by: Sequence[str] = (), loads: DataFrame | None = None
+) -> DataFrame:
     """All rows of the items that took part in one of the last two loads."""
-    return complete.join(items_changed_since(complete, keys, by), list(keys), "left_semi")
+    return complete.join(items_changed_since(complete, keys, by, loads), list(keys), "left_semi")
 
 
 def dedupe_days(complete: DataFrame, keys: Sequence[str] = ITEM) -> DataFrame:

@@ -16,6 +16,7 @@ from ..functions.prices import (
     try_price,
     whole_number,
 )
+from ..sources.tables import in_set
 
 ATTRIBUTES = ["shop", "p_key", "itemId", "itemName", "itemUrl", "slug"]
 UNIFIED = [
@@ -38,7 +39,13 @@ def recent(raw: DataFrame, as_of: date | Column | None, days_back: int, day_colu
 
 
 def rows_of_days(raw: DataFrame, batch: DataFrame) -> DataFrame:
-    """All raw rows of the days in `batch`, days read as `unify` reads them."""
+    """All raw rows of the days in `batch`, days read as `unify` reads them.
+
+    Raw offers that are stored by day (`sources.raw`) are read in these days' folders only.
+    """
+    if "day" in raw.columns:
+        days = batch.where(not_blank("date")).select(F.to_date("date").alias("day")).where("day is not null")
+        return in_set(raw, "day", days)
     dated = lambda df: df.where(not_blank("date")).withColumn("_day", F.to_date("date"))
     days = dated(batch).select("_day").distinct()
     return dated(raw).join(days, "_day", "left_semi").drop("_day")

@@ -682,7 +682,21 @@ def _bodies() -> dict[str, str]:
         "stream_unify": "select * from uni",
         "stream_unify_by_shop": "select * from unim",
     }
-    return bodies
+    return bodies | {name: bodies[same] for name, same in _OTHER_WAYS.items()}
+
+
+#: Queries that reach the result of another one by other means: from stored loads, in buckets, day by day.
+_OTHER_WAYS = {
+    "audit_stamp_landed": "audit_stamp",
+    "history_changes_incremental": "history_changes",
+    "item_count_check_landed": "item_count_check",
+    "latest_batch_by_shop_from_loads": "latest_batch_by_shop",
+    "latest_batch_from_loads": "latest_batch",
+    "price_history_incremental": "price_history",
+    "stream_unify_by_day": "stream_unify",
+    "suspicious_prices_from_loads": "suspicious_prices",
+    "upsert_buckets": "upsert_unpartitioned_whole",
+}
 
 
 _WORD = re.compile(r"[a-z_0-9]+")

@@ -2,17 +2,21 @@
 
 A stage reads what the stages before it have stored and stores its own result,
 by key where the table is incremental. So each plan starts at a scan, a failed
-run can start again at any stage, and nothing is computed twice.
+run can start again at any stage, and nothing is computed twice. The newest loads and
+their days come from the side tables, so a run reads the days it touches
+and not the years before.
 
 Tables below `root`:
 
+    raw                 offers as they came  by day and batch, if they are landed here
     unified             (item, date)         partitioned by date
     item_count_check    (shopOrigin, date)   partitioned by date; with the shop where a table holds several
     reference_prices    (item, date)         partitioned by date
     complete            (item, date)         partitioned by date
     suspicious_prices   (item, date, shop)   partitioned by date
-    metadata            (item)
-    price_history       (item)
+    metadata            (item)               in buckets
+    price_history       (item)               in buckets
+    history             changes by day, items in buckets: what price_history is made of
     published_metadata, published_pricehistory     replaced, one row per (shop_id, slug)
     dashboard, false_discounts, raised_prices      replaced, each with a _history table
 
@@ -31,8 +35,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.days import local_today
 from ..functions.frames import tune
 from ..functions.prices import not_blank
-from ..operators import audit, complete, history, metadata, publish, refprice, unify
-from ..sources import documents, tables
+from ..operators import audit, complete, metadata, publish, refprice, unify
+from ..operators.history_store import HistoryStore, stored_price_history
+from ..sources import documents, raw as raw_offers, tables
+from ..sources.offers import RAW_SCHEMA
 
 
 @dataclass(frozen=True)
@@ -50,6 +56,7 @@ class Settings:
     keys: Sequence[str] = ("itemId",)
     by: Sequence[str] = ()
     extra: Sequence[str] = ()
+    buckets: int = 64
     audit: audit.AuditSettings = field(default_factory=audit.AuditSettings)
 
 
@@ -80,13 +87,32 @@ class Pipeline:
     def table(self, name: str) -> DataFrame:
         return tables.read(self.spark, self.path(name))
 
+    def loads(self, name: str) -> DataFrame:
+        return tables.loads(self.spark, self.path(name))
+
     def _upsert(self, df: DataFrame, name: str, keys: Sequence[str], partition_by: str | None = None) -> None:
-        tables.upsert(df, self.path(name), keys, partition_by=partition_by, loaded_at=self.loaded_at)
+        """By partition, or, for a table of items, in buckets."""
+        buckets = None if partition_by else self.settings.buckets
+        tables.upsert(df, self.path(name), keys, partition_by=partition_by, loaded_at=self.loaded_at, buckets=buckets)
+
+    def land(self, offers: DataFrame, batch: str) -> None:
+        """Store a batch of raw offers by day; `run` without offers takes what is landed."""
+        raw_offers.land(offers, self.path("raw"), batch)
+
+    def landed(self, schema: str = RAW_SCHEMA) -> DataFrame:
+        return raw_offers.read(self.spark, self.path("raw"), schema)
+
+    def _recent_raw(self, raw: DataFrame) -> DataFrame:
+        """Offers of the last days' loads; of stored ones only the days these loads have."""
+        if raw_offers.DAY in raw.columns:
+            lines = unify.recent(raw_offers.loads(self.spark, self.path("raw")), self.as_of, self.settings.days_back)
+            raw = tables.in_set(raw, raw_offers.DAY, lines.select(raw_offers.DAY))
+        return unify.recent(raw, self.as_of, self.settings.days_back)
 
     def unify(self, raw: DataFrame, second: DataFrame | None = None) -> None:
         """Recent offers into the unified table; `second` is another feed of the same items."""
         s = self.settings
-        recent = unify.recent(raw, self.as_of, s.days_back)
+        recent = self._recent_raw(raw)
         rows = self._one_per_day(recent, () if second is not None else s.extra)
         if second is not None:
             rows = unify.merge_feeds(rows, self._one_per_day(unify.recent(second, self.as_of, s.days_back)), self.keys)
@@ -122,10 +148,10 @@ class Pipeline:
 
     def complete(self) -> None:
         by = self.settings.by
-        unified = self.table("unified")
-        rows = complete.complete(unified, self.table("reference_prices"), keys=self.keys, by=by)
+        unified, loads = self.table("unified"), self.loads("unified")
+        rows = complete.complete(unified, self.table("reference_prices"), keys=self.keys, by=by, loads=loads)
         self._upsert(rows, "complete", [*self.keys, "date"], "date")
-        jumps = complete.suspicious_prices(unified, keys=self.keys, by=by)
+        jumps = complete.suspicious_prices(unified, keys=self.keys, by=by, loads=loads)
         item_day_shop = [*dict.fromkeys([*self.keys, "date", "shop"])]
         self._upsert(jumps, "suspicious_prices", item_day_shop, "date")
 
@@ -136,7 +162,10 @@ class Pipeline:
         self._upsert(rows, "metadata", self.keys)
 
     def price_history(self) -> None:
-        rows = history.price_history(self.table("complete"), self.as_of, self.keys, self.settings.by)
+        """What was loaded since the last time goes into the stored history; items of the last two loads get new documents."""
+        store = HistoryStore(self.spark, self.path("history"), self.keys, self.settings.buckets)
+        store.take_loads(self.table("complete"), self.loads("complete"))
+        rows = stored_price_history(store, self.table("complete"), self.as_of, self.settings.by, self.loads("complete"))
         self._upsert(rows, "price_history", self.keys)
 
     def publish(self, documents_path: str | None = None) -> None:
@@ -150,7 +179,10 @@ class Pipeline:
                 documents.write_documents(stored, documents_path, name)
 
     def audit(self, raw: DataFrame, partner: DataFrame | None = None) -> None:
-        """Dashboard and lists of the last day, of all shops in one pass; `partner` says who sold an item that day."""
+        """Dashboard and lists of the last day, of all shops in one pass; `partner` says who sold an item that day.
+
+        Of the raw offers only the newest scrape and its origin count, which the side table of stored ones has.
+        """
         by = tuple(self.settings.by)
         s = replace(self.settings.audit, by=by, keys=tuple(self.keys)) if by else self.settings.audit
         rows = self.table("complete")
@@ -172,16 +204,19 @@ class Pipeline:
 
     def run(
         self,
-        raw: DataFrame,
+        raw: DataFrame | None = None,
         documents_path: str | None = None,
         second: DataFrame | None = None,
         partner: DataFrame | None = None,
     ) -> None:
-        """All stages in order."""
+        """All stages in order, over the given offers or those that are landed."""
+        stamped = raw
+        if raw is None:
+            raw, stamped = self.landed(), raw_offers.loads(self.spark, self.path("raw"))
         self.unify(raw, second)
         self.reference_prices()
         self.complete()
         self.metadata()
         self.price_history()
         self.publish(documents_path)
-        self.audit(raw, partner)
+        self.audit(stamped, partner)

@@ -14,7 +14,8 @@ from ..functions.days import days_before
 from ..functions.frames import tune
 from ..functions.prices import shop_domain
 from ..operators import audit, complete, history, metadata, migrate, publish, refprice, unify
-from ..sources import checks, documents, offers, tables
+from ..operators.history_store import HistoryStore, stored_price_history, with_tails
+from ..sources import checks, documents, offers, raw as raw_offers, tables
 from ..streaming import stream_unify
 
 VALID_DAYS = 15
@@ -223,6 +224,29 @@ def latest_batch(spark, sf):
     return complete.latest_batch(unified(spark, sf))
 
 
+def _by_day(spark, sf, keys=ITEM):
+    """The unified table stored by day, with its side table of loads."""
+    path = f"{tables.scratch_dir(spark)}/unified"
+    tables.upsert(unified(spark, sf, keys), path, [*keys, "date"], partition_by="date", keep_stamp=True)
+    return tables.read(spark, path).select(*unify.UNIFIED, "_timestamp"), tables.loads(spark, path)
+
+
+def latest_batch_from_loads(spark, sf):
+    """The newest load by the side table; only its days are read."""
+    rows, loads = _by_day(spark, sf)
+    return complete.latest_batch(rows, loads=loads)
+
+
+def latest_batch_by_shop_from_loads(spark, sf):
+    rows, loads = _by_day(spark, sf, BY_SHOP)
+    return complete.latest_batch(rows, ("shop",), loads)
+
+
+def suspicious_prices_from_loads(spark, sf):
+    rows, loads = _by_day(spark, sf)
+    return complete.suspicious_prices(rows, loads=loads)
+
+
 def latest_batch_by_shop(spark, sf):
     return complete.latest_batch(unified(spark, sf, BY_SHOP), by=("shop",))
 
@@ -328,6 +352,49 @@ def price_history_plain_whole(spark, sf):
     return json_text(history.price_history_plain(completed(spark, sf), today(spark, sf)))
 
 
+def _loaded(spark, sf):
+    """The complete table loaded in three parts: old days, of which some come late and some wrong; ten days; the rest with the late and right ones.
+
+    Returns the table's path and its parts, each as it was loaded.
+    """
+    rows, as_of = completed(spark, sf), today(spark, sf)
+    # Late rows: the items of one of four hashes on every third day; wrong ones: another hash, five dearer at first.
+    kind, old = F.pmod(F.xxhash64("itemId"), F.lit(4)), F.col("date") <= days_before(as_of, 12)
+    late, wrong = old & (kind == 1) & (F.dayofmonth("date") % 3 == 0), old & (kind == 2)
+    dearer = (F.col("currentPrice") + 5).cast("decimal(12,2)")
+    parts = (
+        rows.where(old & ~late).withColumn("currentPrice", F.when(wrong, dearer).otherwise(F.col("currentPrice"))),
+        rows.where(~old & (F.col("date") <= days_before(as_of, 2))),
+        rows.where(late | wrong | (F.col("date") > days_before(as_of, 2))),
+    )
+    path = f"{tables.scratch_dir(spark)}/complete"
+    for part in parts:
+        tables.upsert(part, path, ["itemId", "date"], partition_by="date", keep_stamp=True)
+        yield path, part
+
+
+def _incremental(spark, sf):
+    """The stored history after each part was loaded, and the table."""
+    store = None
+    for path, part in _loaded(spark, sf):
+        store = store or HistoryStore(spark, f"{path}-history", buckets=8)
+        store.update(part)
+    return store, path
+
+
+def history_changes_incremental(spark, sf):
+    """The changes that the touched days of three loads leave behind, late and corrected ones among them."""
+    store, _ = _incremental(spark, sf)
+    items = store.items()
+    return with_tails(store.changes(), items, today(spark, sf), items.agg(F.max("last_day")).scalar())
+
+
+def price_history_incremental(spark, sf):
+    store, path = _incremental(spark, sf)
+    documents = stored_price_history(store, tables.read(spark, path), today(spark, sf), loads=tables.loads(spark, path))
+    return json_text(documents)
+
+
 # --- stage 06 ---------------------------------------------------------------
 
 
@@ -527,6 +594,14 @@ def replace_table_whole(spark, sf):
     return tables.read(spark, path).drop("_timestamp")
 
 
+def upsert_buckets(spark, sf):
+    """An item table in buckets of its key's hash, loaded twice."""
+    path = f"{tables.scratch_dir(spark)}/unified"
+    for load in _whole_loads(spark, sf):
+        tables.upsert(load, path, ["itemId", "date"], keep_stamp=True, buckets=8)
+    return tables.read(spark, path)
+
+
 def dashboard_history(spark, sf):
     """The dashboard of two audits with different windows: same stamp, so the history keeps the second."""
     root = tables.scratch_dir(spark)
@@ -580,6 +655,37 @@ def freshness(spark, sf):
     return checks.freshness({**now, "stale": stale}, today(spark, sf))
 
 
+def _landed(spark, sf, root, shared=False):
+    """All raw offers, stored by day in two batches that share days."""
+    offered = offers.raw_offers(spark, sf, shared=shared)
+    odd = F.pmod(F.xxhash64("itemId", "date"), F.lit(2)) == 1
+    for name, batch in (("one", offered.where(odd)), ("two", offered.where(~odd))):
+        raw_offers.land(batch, f"{root}/raw", name)
+    return raw_offers.read(spark, f"{root}/raw", offers.RAW_SCHEMA), raw_offers.loads(spark, f"{root}/raw")
+
+
+def audit_stamp_landed(spark, sf):
+    """The stamp by the side table: no offer is read."""
+    return audit.audit_stamp(_landed(spark, sf, tables.scratch_dir(spark))[1])
+
+
+def item_count_check_landed(spark, sf):
+    """Counts over offers that are stored by day."""
+    landed, _ = _landed(spark, sf, tables.scratch_dir(spark))
+    return unify.item_count_check(unify.recent(landed, today(spark, sf), RECENT_DAYS), landed)
+
+
+def stream_unify_by_day(spark, sf):
+    """Each micro-batch reads the folders of its days."""
+    root = tables.scratch_dir(spark)
+    _landed(spark, sf, root)
+    query = stream_unify(
+        spark, f"{root}/raw", offers.RAW_SCHEMA, f"{root}/unified", f"{root}/checkpoint", files_per_batch=30, by_day=True
+    )
+    query.awaitTermination()
+    return tables.read(spark, f"{root}/unified").select(*unify.UNIFIED, "_timestamp")
+
+
 def stream_unified(spark, sf, keys=ITEM, shared=False):
     root = tables.scratch_dir(spark)
     raw = offers.raw_offers(spark, sf, shared=shared)
@@ -660,6 +766,8 @@ def queries() -> dict[str, Query]:
         create_if_absent, upsert, upsert_unpartitioned, replace_table,
         upsert_whole, upsert_unpartitioned_whole, replace_table_whole, dashboard_history,
         json_sink_roundtrip, json_sink_metadata, table_inventory, row_count_drift, freshness,
+        history_changes_incremental, price_history_incremental, latest_batch_from_loads, latest_batch_by_shop_from_loads,
+        suspicious_prices_from_loads, upsert_buckets, audit_stamp_landed, item_count_check_landed, stream_unify_by_day,
     ):
         named[query.__name__] = query
     return {name: _tuned(query) for name, query in sorted(named.items())}

@@ -221,3 +221,65 @@ def test_loads_of_the_whole_queries_hold_every_row(spark):
     for name in ("upsert_whole", "upsert_unpartitioned_whole", "replace_table_whole"):
         rows = registered.queries()[name](spark, SF).select("itemId", "date").collect()
         assert len(rows) == len(keys) and {tuple(r) for r in rows} == keys
+
+
+def files(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_one_changed_item_rewrites_one_bucket(spark, tmp_path):
+    path = str(tmp_path / "items")
+    rows = [(f"i{n}", n) for n in range(50)] + [(None, -1)]
+    frame = lambda r: spark.createDataFrame(r, "k string, v int")
+    tables.upsert(frame(rows), path, ["k"], keep_stamp=True, buckets=8)
+    before = files(tmp_path / "items")
+    tables.upsert(frame([("i7", 70)]), path, ["k"], keep_stamp=True, buckets=99)  # the table's own number holds
+    after = files(tmp_path / "items")
+    changed = {f.split("/")[0] for f, _ in set(before.items()) ^ set(after.items())}
+    assert len({f.split("/")[0] for f in before}) == 8 and len(changed) == 1
+    tables.upsert(frame([(None, -2), ("new", 0)]), path, ["k"], keep_stamp=True, buckets=8)
+    wanted = {**dict(rows), "i7": 70, None: -2, "new": 0}
+    assert sorted(map(tuple, tables.read(spark, path).collect()), key=str) == sorted(wanted.items(), key=str)
+    part = tables.read_buckets(spark, path, ["k"], frame([("i7", 0)]))
+    assert ("i7", 70) in map(tuple, part.collect()) and part.count() < 52
+
+
+def test_buckets_from_versions_and_without_rows(spark, tmp_path):
+    path = str(tmp_path / "items")
+    frame = lambda r: spark.createDataFrame(r, "k string, v int")
+    tables.upsert(frame([("a", 1), ("b", 2)]), path, ["k"], keep_stamp=True)
+    tables.upsert(frame([("b", 3)]), path, ["k"], keep_stamp=True, buckets=4)
+    assert sorted(map(tuple, tables.read(spark, path).collect())) == [("a", 1), ("b", 3)]
+    tables.upsert(frame([]), path, ["k"], keep_stamp=True, buckets=4, replaced=frame([("a", 0), ("b", 0)]))
+    assert tables.read(spark, path).columns == ["k", "v"] and tables.read(spark, path).count() == 0
+    tables.upsert(frame([]), str(tmp_path / "none"), ["k"], keep_stamp=True, buckets=4)
+    assert tables.read(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_loads_say_what_the_table_holds(spark, tmp_path):
+    """Late days, overwritten loads, a removed day and a table that had no side table yet."""
+    path = str(tmp_path / "t")
+    at = lambda n: datetime.datetime(2024, 1, n, 23)
+    schema = "shop string, k string, date date, _timestamp timestamp_ntz"
+
+    def held():
+        counted = tables.read(spark, path).groupBy("date", "shop", "_timestamp").count()
+        return sorted(map(tuple, counted.collect()), key=str)
+
+    def load(rows, **options):
+        frame = spark.createDataFrame([(s, k, day(f"2024-01-{d:02d}") if d else None, at(t)) for s, k, d, t in rows], schema)
+        tables.upsert(frame, path, ["k", "date"], partition_by="date", keep_stamp=True, **options)
+        assert sorted(map(tuple, tables.loads(spark, path).select("date", "shop", "_timestamp", "rows").collect()), key=str) == held()
+
+    load([("x", "a", 1, 1), ("x", "b", 1, 1), ("y", "c", 2, 2)])
+    load([("x", "a", 1, 3), ("y", "d", 3, 3), ("y", "e", None, 3)])
+    load([("x", "b", 1, 4)])  # the first load is gone from the day
+    gone = spark.createDataFrame([("c", day("2024-01-02"))], "k string, date date")
+    load([], replaced=gone)
+    assert not (tmp_path / "t" / "date=2024-01-02").exists()
+    tables._delete(spark, f"{path}/_loads")
+    load([("y", "d", 3, 5)])
+    newest = tables.newest_loads(tables.loads(spark, path), 2, ["shop"])
+    assert sorted((r["shop"], r["_timestamp"].day) for r in newest.select("shop", "_timestamp").distinct().collect()) == [
+        ("x", 3), ("x", 4), ("y", 3), ("y", 5),
+    ]
