@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import itertools
 import uuid
 
 import numpy as np
@@ -32,6 +34,23 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shielded(operator):
+    """For operators that return the columns they are given: those whose names begin as the operator's own do, with `_`, are set aside."""
+
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **options):
+        taken = {c.lower() for c in docs.columns}
+        free = (n for n in (f"aside{i}" for i in itertools.count()) if n not in taken)
+        names = {c: next(free) for c in docs.columns if c.startswith("_")}
+        back = {new: old for old, new in names.items()}
+        # Positions, as a table may have names that differ in case only.
+        renamed = docs.toDF(*[names.get(c, c) for c in docs.columns])
+        out = operator(renamed, *args, **options)
+        return out.toDF(*[back.get(c, c) for c in out.columns])
+
+    return run
+
+
 def small_batches(spark: SparkSession, rows: int = 512, size: str = "8m") -> None:
     """Arrow batches short enough that very long texts fit a worker many times over."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import lower_ascii
+from .common import lower_ascii, shielded
 
 #: Everything that is neither a digit, a lower-case letter nor beyond ASCII.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -182,6 +182,7 @@ def without_spans(text: Column, spans: Column) -> Column:
     return F.array_join(F.transform(pieces, lambda p, i: F.when(outside(i), p)), "")
 
 
+@shielded
 def decontaminate(
     docs: DataFrame, tests: DataFrame, remove: str = "documents", one_in: int = 20, doc_id: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:

@@ -25,9 +25,9 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import count_words, shared_dir, stored
+from .common import count_words, shared_dir, shielded, stored
 
 STEPS = 60
 
@@ -125,6 +125,11 @@ def _rounded(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(copies=copies)[["row", "doc_id", "times", "size", "source_size", "target", "copies"]]
 
 
+def _row_hash(*columns: str) -> Column:
+    """A hash leaves nulls out, so which columns are null is hashed as well."""
+    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = (3, 1, 2),
@@ -144,7 +149,7 @@ def mix(
     # A string source is compared by bytes of UTF-8, which is code point order.
     sized = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
-        F.xxhash64(F.col(doc_id), F.col(source), F.col(text_col)).alias("row"),
+        _row_hash(doc_id, source, text_col).alias("row"),
         F.col(source).cast("string").alias("source"),
         count_words(F.col(text_col)).alias("size"),
     )
@@ -187,11 +192,12 @@ def mix(
     return rows.groupBy("cell").applyInPandas(_rounded, schema)
 
 
+@shielded
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text_col: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows of `docs`, each as many times as the mix takes it; equal rows share their copies."""
     copies = mix(docs, doc_id=doc_id, text_col=text_col, source=source, **options)
     taken = copies.where("copies > 0").select(F.col("row").alias("_row"), F.col("copies").alias("_copies"))
-    keyed = docs.withColumn("_own", F.xxhash64(F.col(doc_id), F.col(source), F.col(text_col)))
+    keyed = docs.withColumn("_own", _row_hash(doc_id, source, text_col))
     joined = keyed.join(taken, F.col("_own") == F.col("_row"))
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 

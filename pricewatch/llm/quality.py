@@ -25,7 +25,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import small_batches
+from .common import shielded, small_batches
 from .labelled import labelled_sample, logistic, sigmoid
 
 CHUNK, DICTIONARY, LEVEL = 1024, 112_640, 3
@@ -100,6 +100,13 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text", score: st
     return scored.withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
 
 
+@shielded
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose score is at least a half."""
+    scored = score_texts(docs, model, text_col, score="_quality", predicted="_accepted")
+    return scored.where("_accepted = 1").select(*docs.columns)
+
+
 def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, **bounds: int) -> Model:
     """Fit on a bounded sample of the allowed labels."""
     return fit(*labelled_sample(docs, labels, label, allowed, **bounds))

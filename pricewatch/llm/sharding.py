@@ -14,7 +14,7 @@ rank in its cell. So no sort sees more than a cell, whatever one group holds.
 
 Cases. Null texts have no bytes and no words, and are a group of their own. Rows
 that are equal get slots in any order. An empty table gives an empty result. Other
-columns are kept by `shard_documents`; names that clash with its own are replaced.
+columns are kept by `shard_documents`, whatever their names; only `shard` and `slot` are replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import count_words, shared_dir, stored
+from .common import count_words, shared_dir, shielded, stored
 
 DIMENSIONS = ("bytes", "tokens", "rows")
 
@@ -101,6 +101,7 @@ def with_slots(placed: DataFrame, shard: str, order: tuple[str, ...], rows_per_c
     return ranked.join(firsts, [shard, "_cell"]).withColumn("slot", (F.col("_rank") + F.col("_first")).cast("long")).drop("_cell", "_rank", "_first")
 
 
+@shielded
 def shard_documents(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """All rows and columns of `docs`, with shard and slot."""
     placed = place(docs.drop("shard", "slot"), shards, text_col=text_col, key=(doc_id,), **options).drop("_size")
