@@ -439,24 +439,15 @@ def _parts() -> dict[str, str]:
         "meta_wide_all": _metadata("complete", ITEM, ALL, wide=True, stamp=True),
         "documents_h": _document("_h"),
         "loads": 'select "itemId", max(_timestamp) as _timestamp from complete group by all',
-        "first_load": "select uni.* from uni, today where date <= t - 10",
+        "first_load": "select uni.* from uni, today where date <= t - 10 or date is null",
         "second_load": """
         select uni.* replace (cast("currentPrice" - 10 as decimal(12,2)) as "currentPrice")
-        from uni, today where date >= t - 15 and "originalPrice" is not null""",
+        from uni, today where date >= t - 15""",
         "upserted": """
         select * from second_load
         union all
         select f.* from first_load f
         where not exists (select 1 from second_load s where s."itemId" = f."itemId" and s.date = f.date)""",
-        "first_whole": "select uni.* from uni, today where date <= t - 10 or date is null",
-        "second_whole": """
-        select uni.* replace (cast("currentPrice" - 10 as decimal(12,2)) as "currentPrice")
-        from uni, today where date >= t - 15""",
-        "upserted_whole": """
-        select * from second_whole
-        union all
-        select f.* from first_whole f
-        where not exists (select 1 from second_whole s where s."itemId" = f."itemId" and s.date = f.date)""",
         "inventory": _inventory({"unified": "uni", "raw": "raw", "second": "raw2"}),
         "published_meta": f"""
         select {_domain('shop')} as shop_id, slug, "itemId", "itemName", "itemImage" from meta_all
@@ -653,9 +644,9 @@ def _bodies() -> dict[str, str]:
         "create_if_absent": "select * exclude (_timestamp) from raw",
         "upsert": "select * from upserted",
         "upsert_unpartitioned": "select * from upserted",
-        "replace_table": "select * exclude (_timestamp) from second_load",
-        "upsert_whole": "select * from upserted_whole",
-        "upsert_unpartitioned_whole": "select * from upserted_whole",
+        "replace_table": "select * exclude (_timestamp) from uni",
+        "upsert_whole": "select * from upserted",
+        "upsert_unpartitioned_whole": "select * from upserted",
         "replace_table_whole": "select * exclude (_timestamp) from uni",
         "json_sink_roundtrip": "select shop_id, slug, json as document from published_history",
         "json_sink_metadata": """
