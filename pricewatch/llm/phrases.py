@@ -2,17 +2,17 @@
 
 Every word is the head of one window: itself and the next words of its piece as
 lead columns, padded with nulls behind the piece's end. Only these longest windows
-are counted; ROLLUP over (lang, w1, ..., wk) then sums them to the counts of all
-shorter prefixes, which are the phrases, down to the number of words of a
+are counted; ROLLUP over (lang, w1, w2, ...) then sums them to the counts of all
+shorter prefixes, which are the shorter phrases, down to the number of words of a
 language. No n-gram of a lower order is exploded for its count.
 
 Windows end early where they can no longer be part of a result: a phrase that
 occurs `least` times has only neighbouring pairs that do. A first pass over
-pair windows finds the frequent pairs and keeps them as a bitmap of their hashes, of
-a bounded size (`most_bits`). A window is padded from its first pair that is not in it.
-Pairs that share a bit by chance only make some windows longer than they need be, so
-counts of all phrases with at least `least` occurrences, of their parts, of single
-words and of a language's words are exact.
+pair windows finds the frequent pairs and keeps them, and the words in them, as bitmaps of
+their hashes, of a bounded size (`most_bits`). A window is padded from its first pair that is not
+there. Pairs that share a hash or a bit by chance only make some windows longer than they need
+be, so the counts of all phrases with at least `least` occurrences, of their
+parts and of a language's words are exact.
 
 Counts are summed before they are shuffled, so a word, pair or passage that is everywhere is one row
 a task. The best phrases of a language are picked in two steps, first
@@ -27,6 +27,8 @@ punctuation or line ends (about 100 bytes a word of it).
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -39,7 +41,9 @@ BLANKS = r"[\x20\x09]+"
 
 def lead_windows(docs: DataFrame, order: int, text_col: str = "text", lang: str = "lang") -> DataFrame:
     """A row for each word: lang, the word as w1 and those after it in its piece as w2, w3, ..."""
-    text = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # The two agree on ASCII, where the first is several times as fast.
+    text = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(lower_ascii(text))
     pieces = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.explode(F.split(text, PIECE_ENDS)).alias("piece"))
     words = pieces.select("lang", F.array_remove(F.split("piece", BLANKS), "").alias("w1")).where(F.size("w1") > 0)
     # Slices from the second, third, ... word on: zipped, they are the leads.
@@ -47,34 +51,54 @@ def lead_windows(docs: DataFrame, order: int, text_col: str = "text", lang: str
     return words.select("lang", F.inline(F.arrays_zip(*leads)))
 
 
-def _slot(bits: int, a: str, b: str) -> Column:
-    return F.pmod(F.xxhash64("lang", a, b), F.lit(bits))
+def _hash(word: str) -> Column:
+    return F.xxhash64("lang", word)
+
+
+class Bitmap(NamedTuple):
+    """A set of hashes: a bit each in an array of 64-bit words. Others may share a bit, so it holds the set and a little more."""
+
+    words: Column
+    bits: int
+
+    def has(self, value: Column) -> Column:
+        slot = F.pmod(value, F.lit(self.bits))
+        return F.getbit(F.get(self.words, F.shiftright(slot, 6).cast("int")), F.pmod(slot, F.lit(64)).cast("int")) == 1
 
 
-def frequent_pairs(pairs: DataFrame, least: int, folder: str, most_bits: int) -> tuple[Column, int]:
-    """The hashes of all pair windows that occur `least` times, as a bitmap in 64-bit words, and its size in bits."""
-    spark = pairs.sparkSession
-    counted = pairs.where("w2 is not null").groupBy("lang", "w1", "w2").count()
-    often = stored(counted.where(F.col("count") >= least).select("lang", "w1", "w2"), folder, "pairs")
-    bits, wanted = 1 << 12, 16 * often.count()
+def bitmap(hashes: DataFrame, most_bits: int) -> Bitmap:
+    """A bitmap of the column `h`: sixteen bits for each row, at most `most_bits`."""
+    bits, wanted = 1 << 12, 16 * hashes.count()
     while bits < min(wanted, most_bits):
         bits *= 2
-    slot = _slot(bits, "w1", "w2")
+    slot = F.pmod("h", F.lit(bits))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))
-    marks = often.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(bit).alias("marks")).toArrow()  # most_bits / 64 rows
-    bitmap = np.zeros(bits // 64, np.int64)
-    bitmap[marks["at"].to_numpy()] = marks["marks"].to_numpy()
-    row = pa.table({"bitmap": pa.array([bitmap], pa.list_(pa.int64()))})
-    return spark.createDataFrame(row).scalar(), bits
+    marks = hashes.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(bit).alias("marks")).toArrow()  # most_bits / 64 rows
+    words = np.zeros(bits // 64, np.int64)
+    words[marks["at"].to_numpy()] = marks["marks"].to_numpy()
+    row = pa.table({"bitmap": pa.array([words], pa.list_(pa.int64()))})
+    return Bitmap(hashes.sparkSession.createDataFrame(row).scalar(), bits)
 
 
-def shortened(windows: DataFrame, order: int, bitmap: Column, bits: int) -> DataFrame:
-    """Windows padded from their first pair that is not frequent."""
+def frequent(pairs: DataFrame, least: int, folder: str, most_bits: int) -> tuple[Bitmap, Bitmap]:
+    """Words and pairs of neighbours: the pairs that occur `least` times, and the words in them.
+
+    Pairs are counted by their words' hashes; those that share one are counted together, which only adds pairs.
+    """
+    counted = pairs.where("w2 is not null").groupBy(_hash("w1").alias("a"), _hash("w2").alias("b")).count()
+    often = stored(counted.where(F.col("count") >= least).select("a", "b"), folder, "pairs")
+    words = often.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    return bitmap(words, most_bits), bitmap(often.select(F.xxhash64("a", "b").alias("h")), most_bits)
+
+
+def shortened(windows: DataFrame, order: int, words: Bitmap, pairs: Bitmap) -> DataFrame:
+    """Windows padded from their first pair that is not frequent; all pads where the first word is in no frequent pair."""
+    windows = windows.withColumns({f"h{i}": _hash(f"w{i}") for i in range(1, order + 1)})
+    windows = windows.withColumn("w1", F.when(words.has(F.col("h1")), F.col("w1")))
     for i in range(2, order + 1):
-        slot = _slot(bits, f"w{i - 1}", f"w{i}")
-        frequent = F.getbit(F.get(bitmap, F.shiftright(slot, 6).cast("int")), F.pmod(slot, F.lit(64)).cast("int")) == 1
         # A pad before it pads what follows.
-        windows = windows.withColumn(f"w{i}", F.when(F.col(f"w{i - 1}").isNotNull() & frequent, F.col(f"w{i}")))
+        known = F.col(f"w{i - 1}").isNotNull() & pairs.has(F.xxhash64(f"h{i - 1}", f"h{i}"))
+        windows = windows.withColumn(f"w{i}", F.when(known, F.col(f"w{i}")))
     return windows
 
 
@@ -86,20 +110,30 @@ def phrase_counts(
     lang: str = "lang",
     most_bits: int = 1 << 25,
 ) -> tuple[DataFrame, DataFrame]:
-    """(lang, words, phrase, f) of all phrases of up to `order` words with f >= least, and (lang, n); stored."""
+    """(lang, words, phrase, f) of phrases of up to `order` words with f >= least, and (lang, n); stored.
+
+    Complete for phrases of two words and more; of single words those that such a phrase has.
+    """
+    if order < 2:
+        raise ValueError("a phrase has two words at least")
     folder = shared_dir(docs.sparkSession)
     windows = lead_windows(docs, order, text_col, lang)
-    if order > 1:
-        windows = shortened(windows, order, *frequent_pairs(lead_windows(docs, 2, text_col, lang), least, folder, most_bits))
+    windows = shortened(windows, order, *frequent(lead_windows(docs, 2, text_col, lang), least, folder, most_bits))
     names = [f"w{i}" for i in range(1, order + 1)]
-    counted = windows.groupBy("lang", *names).agg(F.count("*").alias("n"))
-    rolled = counted.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("_rolled"))
-    # The words that were not summed over: none for a language, and one fewer for each bit.
-    size = order - F.length(F.regexp_replace(F.bin("_rolled"), "0", ""))
+    # One text for a window while it is counted: pads are at its end only.
+    counted = windows.groupBy("lang", F.concat_ws(" ", *names).alias("window")).agg(F.count("*").alias("n"))
+    parts = [F.nullif(F.split_part("window", F.lit(" "), F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(names, 1)]
+    counted = stored(counted.select("lang", *parts, "n"), folder, "windows")
+    # Whole windows are counted by now; all shorter prefixes are their sums.
+    top = counted.where(F.col(names[-1]).isNotNull() & (F.col("n") >= least))
+    rolled = counted.rollup("lang", *names[:-1]).agg(F.sum("n").alias("f"), F.grouping_id().alias("_rolled"))
+    # The words that were not summed over: one fewer for each bit, none for a language.
+    size = order - 1 - F.length(F.regexp_replace(F.bin("_rolled"), "0", ""))
     sums = rolled.withColumn("words", size.cast("int")).where("words >= 0")
-    whole = (F.col("words") == 0) | F.get(F.array(*names), F.col("words") - 1).isNotNull()
-    sums = sums.where(whole & ((F.col("words") == 0) | (F.col("f") >= least)))
-    sums = stored(sums.select("lang", "words", F.concat_ws(" ", *names).alias("phrase"), "f"), folder, "sums")
+    whole = F.get(F.array(*names[:-1]), F.col("words") - 1).isNotNull() & (F.col("f") >= least)
+    sums = sums.where((F.col("words") == 0) | whole).select("lang", "words", F.concat_ws(" ", *names[:-1]).alias("phrase"), "f")
+    sums = sums.union(top.select("lang", F.lit(order), F.concat_ws(" ", *names), "n"))
+    sums = stored(sums, folder, "sums")
     return sums.where("words > 0"), sums.where("words = 0").select("lang", F.col("f").alias("n"))
 
 

@@ -72,7 +72,7 @@ def test_a_small_bitmap_changes_nothing(spark):
     rows = [("en", f"a b c d {i % 7} e f. a b {i % 3} c") for i in range(60)]
     docs = in_languages(spark, rows)
     sums = [
-        sorted(tuple(r) for r in phrases.phrase_counts(docs, 5, 4, most_bits=bits)[0].collect()) for bits in (1 << 12, 1 << 20)
+        sorted(tuple(r) for r in phrases.phrase_counts(docs, 5, 4, most_bits=bits)[0].where("words > 1").collect()) for bits in (1 << 12, 1 << 20)
     ]
     assert sums[0] == sums[1]
 
