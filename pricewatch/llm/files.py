@@ -6,8 +6,6 @@ import mmap
 import uuid
 from urllib.parse import unquote, urlparse
 
-import numpy as np
-
 
 def filesystem(uri: str):
     """The file system of a URI and the path in it."""
@@ -43,14 +41,3 @@ def mapped(uri: str) -> memoryview:
             return memoryview(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
     with open_input(uri) as f:
         return memoryview(f.read())
-
-
-def columns(raw: memoryview, dtypes: list) -> list[np.ndarray]:
-    """Arrays of equal length that lie one after the other."""
-    kinds = [np.dtype(d) for d in dtypes]
-    n = len(raw) // sum(k.itemsize for k in kinds)
-    out, at = [], 0
-    for kind in kinds:
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += n * kind.itemsize
-    return out

@@ -21,7 +21,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
-import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
