@@ -205,25 +205,26 @@ def _widest_gaps(rows: DataFrame, settings: AuditSettings, tie_break: Sequence[s
     return rows.where(F.col("typ_neshody") != settings.label(4)) if settings.exclude_type_4 else rows
 
 
-def _partner_rows(partner: DataFrame, days: int, exact: bool) -> DataFrame:
-    """Partner offers `days` before the feed's last day: on that day exactly, or from it on."""
+def partner_of_day(partner: DataFrame, days: int, exact: bool, by: Sequence[str] = ()) -> DataFrame:
+    """One partner per item and day: (by, itemId, datum, PARTNER), `days` before the feed's last day exactly, or from then on.
+
+    A feed may name several partners of an item on a day; the first by name counts, a missing name only if there
+    is no other. So no row of an audit is doubled. With `by` each shop's feed has its own items and last day.
+    """
     created = F.left("CREATED", F.lit(10))
-    limit = partner.agg(F.date_sub(F.max(created).cast("date"), days).cast("string")).scalar()
-    wanted = created == limit if exact else created >= limit
-    return partner.where(wanted).select(
-        F.col("ITEM_ID").alias("itemId"), F.to_date(created).alias("datum"), "PARTNER"
-    )
+    first = F.date_sub(F.max(created).cast("date"), days).cast("string")
+    rows = with_table_value(partner, partner, first, "_first", by)
+    wanted = created == F.col("_first") if exact else created >= F.col("_first")
+    item = [*by, F.col("ITEM_ID").alias("itemId"), F.to_date(created).alias("datum")]
+    return rows.where(wanted).groupBy(*item).agg(F.min("PARTNER").alias("PARTNER"))
 
 
 def false_discounts_with_partner(
     snapshot: DataFrame, partner: DataFrame, settings: AuditSettings = DEFAULT
 ) -> DataFrame:
     """`false_discounts` with the partner who sold the item on the feed's last full day."""
-    rows = _discounted_mismatches(snapshot, settings).join(
-        _partner_rows(partner, 1, exact=True).withColumnRenamed("PARTNER", "partnersky_prodej"),
-        ["itemId", "datum"],
-        "left",
-    )
+    sold = partner_of_day(partner, 1, exact=True, by=settings.by).withColumnRenamed("PARTNER", "partnersky_prodej")
+    rows = _discounted_mismatches(snapshot, settings).join(sold, [*settings.by, "itemId", "datum"], "left")
     return _widest_gaps(rows, settings, ["partnersky_prodej"])
 
 
@@ -266,7 +267,8 @@ def raised_reference_price(
     )
     partner_columns = []
     if partner is not None:
-        found = found.join(_partner_rows(partner, 30, exact=False), ["itemId", "datum"], "left")
+        sold = partner_of_day(partner, 30, exact=False, by=settings.by)
+        found = found.join(sold, [*settings.by, "itemId", "datum"], "left")
         partner_columns = ["PARTNER"]
     return found.select(
         "shop",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -165,31 +166,40 @@ def item_count_check(recent_rows: DataFrame, raw: DataFrame, by: Sequence[str] =
     )
 
 
-def merge_feeds(main: DataFrame, second: DataFrame, keys: Sequence[str] = ("itemId",)) -> DataFrame:
-    """Two unified feeds, one row per key and day each, merged into one.
+def merge_feeds(main: DataFrame, second: DataFrame, keys: Sequence[str] = ("itemId",), extra: Sequence[str] = ()) -> DataFrame:
+    """Two unified feeds, one row per key and day each, merged into one: `merge_all` of two."""
+    return merge_all([main, second], keys, extra)
 
-    The lower selling price wins; the claimed price prefers the second feed,
-    every other attribute the main one. Key and claimed discount are recomputed.
+
+def merge_all(feeds: Sequence[DataFrame], keys: Sequence[str] = ("itemId",), extra: Sequence[str] = ()) -> DataFrame:
+    """Unified feeds of the same items, the main one first, merged to one row per key and day.
+
+    The lowest selling price wins; the claimed price is that of the last feed that has one,
+    every other attribute, `extra` columns among them, that of the first. The load time is the newest;
+    key and claimed discount are recomputed. A feed need not have the extra columns.
+
+    One grouped reduction for any number of feeds, with partial sums before the shuffle, in place of a full join for each.
     """
-    m, s = main.alias("m"), second.alias("s")
-    same = [F.col(f"m.{k}") == F.col(f"s.{k}") for k in (*keys, "date")]
-    both = m.join(s, same, "full")
-
-    def main_first(name: str) -> Column:
-        return F.coalesce(F.col(f"m.{name}"), F.col(f"s.{name}")).alias(name)
-
-    def second_first(name: str) -> Column:
-        return F.coalesce(F.col(f"s.{name}"), F.col(f"m.{name}"))
-
-    price = F.when(
-        F.col("m.currentPrice") <= F.col("s.currentPrice"), F.col("m.currentPrice")
-    ).otherwise(second_first("currentPrice"))
-    merged = both.select(
-        *[main_first(c) for c in ("shop", "itemId", "itemName", "itemUrl", "slug")],
-        price.alias("currentPrice"),
-        second_first("originalPrice").alias("originalPrice"),
-        *[main_first(c) for c in ("itemImage", "date", "inStock")],
-        F.greatest(F.col("m._timestamp"), F.col("s._timestamp")).alias("_timestamp"),
+    attributes = [c for c in ("shop", "itemName", "itemUrl", "slug", "itemImage", "inStock", *extra) if c not in keys]
+    columns = [*dict.fromkeys([*keys, "itemId", "date", "currentPrice", "originalPrice", *attributes, "_timestamp"])]
+    kinds = {f.name: f.dataType for feed in reversed(feeds) for f in feed.schema}
+    rows = [
+        feed.select(
+            *[F.col(c) if c in feed.columns else F.lit(None).cast(kinds.get(c, "string")).alias(c) for c in columns],
+            F.lit(n).alias("_feed"),
+        )
+        for n, feed in enumerate(feeds)
+    ]
+
+    def of_feed(pick, name: str) -> Column:
+        return pick(F.col(name), F.when(F.col(name).isNotNull(), F.col("_feed"))).alias(name)
+
+    group = [*dict.fromkeys([*keys, "itemId", "date"])]
+    merged = reduce(DataFrame.unionByName, rows).groupBy(*group).agg(
+        F.min("currentPrice").alias("currentPrice"),
+        of_feed(F.max_by, "originalPrice"),
+        *[of_feed(F.min_by, c) for c in attributes],
+        F.max("_timestamp").alias("_timestamp"),
     )
     sale = percent_off(F.col("currentPrice"), F.col("originalPrice"))
-    return _with_key(merged.withColumn("officialSale", sale))
+    return _with_key(merged.withColumn("officialSale", sale), extra)

@@ -385,6 +385,11 @@ def _parts() -> dict[str, str]:
         "daily2": _unify("raw2", "day"),
         "uni": _keyed("daily", ITEM),
         "uni2": _keyed("daily2", ITEM),
+        "raw3": _raw("- 3", "where event_type = 'view'"),
+        "daily3": _unify("raw3", "day"),
+        "uni3": _keyed("daily3", ITEM),
+        "dailyu": _unify("rawu", "day", extra='"usedGoods",'),
+        "uniu": _keyed("dailyu", ITEM).replace('"inStock") = 1', '"inStock", "usedGoods") = 1'),
         "uni_slug": _keyed("daily", SLUG),
         "uni_shop": _keyed("daily", SHOP),
         "partner": """
@@ -392,6 +397,11 @@ def _parts() -> dict[str, str]:
                cast(date '2024-01-01' + cast(o_orderkey % 30 as int) as varchar) as "CREATED",
                min(o_orderpriority) as "PARTNER"
         from orders group by 1, 2""",
+        "partner_m": """
+        select case u % 5 when 0 then 'alfa_cz' when 1 then 'beta.cz' when 2 then 'gama_sk' when 3 then 'delta.sk' else 'omega' end as shop,
+               'i' || (u // 5) as "ITEM_ID", day as "CREATED", min(o_orderpriority) as "PARTNER"
+        from (select *, o_custkey % 200 as u, cast(date '2024-01-01' + cast(o_orderkey % 30 as int) as varchar) as day from orders)
+        group by 1, 2, 3""",
         "stamp": """
         select min(case when "shopOrigin" <> '' then "shopOrigin" end) as shop, max(left(date, 16)) as aktualizace
         from raw where left(date, 16) = (select max(left(date, 16)) from raw)""",
@@ -510,6 +520,19 @@ def _bodies() -> dict[str, str]:
                      coalesce(a."itemImage", b."itemImage") as "itemImage", coalesce(a.date, b.date) as date,
                      coalesce(a."inStock", b."inStock") as "inStock", greatest(a._timestamp, b._timestamp) as _timestamp
               from uni a full join uni2 b on a."itemId" = b."itemId" and a.date = b.date)""",
+        "merge_feeds_extra": f"""
+        select *, md5(shop || "itemId") as p_key, {_pct('"currentPrice"', '"originalPrice"')} as "officialSale"
+        from (select "itemId", date, coalesce(a.shop, b.shop, c.shop) as shop,
+                     coalesce(a."itemName", b."itemName", c."itemName") as "itemName",
+                     coalesce(a."itemUrl", b."itemUrl", c."itemUrl") as "itemUrl", coalesce(a.slug, b.slug, c.slug) as slug,
+                     least(a."currentPrice", b."currentPrice", c."currentPrice") as "currentPrice",
+                     coalesce(c."originalPrice", b."originalPrice", a."originalPrice") as "originalPrice",
+                     coalesce(a."itemImage", b."itemImage", c."itemImage") as "itemImage",
+                     coalesce(a."inStock", b."inStock", c."inStock") as "inStock",
+                     coalesce(a."usedGoods", c."usedGoods") as "usedGoods",
+                     greatest(a._timestamp, b._timestamp, c._timestamp) as _timestamp
+              from (select *, 'click' as "usedGoods" from uni2) a
+              full join uni3 b using ("itemId", date) full join uniu c using ("itemId", date))""",
         "active_items": "select * from items",
         "calendar_days": "select day as date from cal",
         "date_item_grid": 'select "itemId", day as date from items, cal',
@@ -617,6 +640,17 @@ def _bodies() -> dict[str, str]:
         left join (select * from partner where "CREATED" = (select cast(cast(max("CREATED") as date) - 1 as varchar) from partner)) s
           on p."itemId" = s."ITEM_ID" and cast(p.datum as varchar) = s."CREATED"
         where typ_neshody <> '{MISMATCH_TYPES[4].format(name=OWN)}'""",
+        "false_discounts_partner_by_shop": f"""
+        select p.*, s."PARTNER" as partnersky_prodej from pairs_m p
+        left join (select *, max("CREATED") over (partition by shop) as last from partner_m) s
+          on p.shop = s.shop and p."itemId" = s."ITEM_ID" and cast(p.datum as varchar) = s."CREATED"
+             and s."CREATED" = cast(cast(s.last as date) - 1 as varchar)
+        where typ_neshody <> '{MISMATCH_TYPES[4].format(name=OWN)}'""",
+        "raised_ref_price_partner_by_shop": """
+        select r.*, s."PARTNER" from raised_out_m r
+        left join (select *, max("CREATED") over (partition by shop) as last from partner_m) s
+          on r.shop = s.shop and r."itemId" = s."ITEM_ID" and cast(r."datum_zmeny_refCeny" as varchar) = s."CREATED"
+             and s."CREATED" >= cast(cast(s.last as date) - 30 as varchar)""",
         "raised_ref_price": "select * from raised_out",
         "raised_ref_price_partner": """
         select r.*, s."PARTNER" from raised_out r

@@ -1,4 +1,4 @@
-"""The daily run: seven stages, one after the other, each over stored tables.
+"""The daily run: eight stages, one after the other, each over stored tables.
 
 A stage reads what the stages before it have stored and stores its own result,
 by key where the table is incremental. So each plan starts at a scan, a failed
@@ -19,6 +19,7 @@ Tables below `root`:
     history             changes by day, items in buckets: what price_history is made of
     published_metadata, published_pricehistory     replaced, one row per (shop_id, slug)
     dashboard, false_discounts, raised_prices      replaced, each with a _history table
+    inventory, row_count_drift                     replaced: this check's counts, and what they are against the last one's
 
 "item" is `keys`: itemId, with the slug or the shop in front where a table
 holds several of them.
@@ -30,16 +31,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.days import local_today
 from ..functions.frames import tune
 from ..functions.prices import not_blank
 from ..operators import audit, complete, metadata, publish, refprice, unify
 from ..operators.history_store import HistoryStore, stored_price_history
-from ..sources import documents, raw as raw_offers, tables
+from ..sources import checks, documents, raw as raw_offers, tables
 from ..sources.offers import RAW_SCHEMA
 
+#: Tables the checks count: those by day have a side table of loads.
+BY_DAY = ("unified", "item_count_check", "reference_prices", "complete", "suspicious_prices")
+WHOLE = ("metadata", "price_history", "published_metadata", "published_pricehistory", "dashboard", "false_discounts", "raised_prices")
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -109,13 +114,14 @@ class Pipeline:
             raw = tables.in_set(raw, raw_offers.DAY, lines.select(raw_offers.DAY))
         return unify.recent(raw, self.as_of, self.settings.days_back)
 
-    def unify(self, raw: DataFrame, second: DataFrame | None = None) -> None:
-        """Recent offers into the unified table; `second` is another feed of the same items."""
+    def unify(self, raw: DataFrame, second: DataFrame | Sequence[DataFrame] | None = None) -> None:
+        """Recent offers into the unified table; `second` is another feed of the same items, or several in order."""
         s = self.settings
         recent = self._recent_raw(raw)
-        rows = self._one_per_day(recent, () if second is not None else s.extra)
-        if second is not None:
-            rows = unify.merge_feeds(rows, self._one_per_day(unify.recent(second, self.as_of, s.days_back)), self.keys)
+        others = [] if second is None else [second] if isinstance(second, DataFrame) else list(second)
+        feeds = [recent, *[unify.recent(feed, self.as_of, s.days_back) for feed in others]]
+        rows = [self._one_per_day(feed, [c for c in s.extra if c in feed.columns]) for feed in feeds]
+        rows = unify.merge_all(rows, self.keys, s.extra) if others else rows[0]
         self._upsert(rows, "unified", [*self.keys, "date"], "date")
         check = unify.item_count_check(recent, self._rows_to_count(raw, recent), s.by)
         self._upsert(check, "item_count_check", [*s.by, "shopOrigin", "date"], "date")
@@ -202,11 +208,23 @@ class Pipeline:
                 result, path, f"{path}_history", keys, self.loaded_at, partition_by
             )
 
+    def check(self, min_rows_drop: int = 1000) -> None:
+        """Count the stored tables, hold the counts against those of the last check, and keep them for the next.
+
+        Tables by day are counted from their side tables. The last inventory stays until the drift is stored.
+        """
+        known = [name for name in (*BY_DAY, *WHOLE) if tables.table_exists(self.spark, self.path(name))]
+        counted = {name: self.table(name) for name in known}
+        now = checks.table_inventory(counted, loads={name: self.loads(name) for name in known if name in BY_DAY})
+        before = self.table("inventory") if tables.table_exists(self.spark, self.path("inventory")) else now.limit(0)
+        tables.replace(checks.row_count_drift(now, before, self.as_of, min_rows_drop), self.path("row_count_drift"), self.loaded_at)
+        tables.replace(now, self.path("inventory"), self.loaded_at)
+
     def run(
         self,
         raw: DataFrame | None = None,
         documents_path: str | None = None,
-        second: DataFrame | None = None,
+        second: DataFrame | Sequence[DataFrame] | None = None,
         partner: DataFrame | None = None,
     ) -> None:
         """All stages in order, over the given offers or those that are landed."""
@@ -220,3 +238,4 @@ class Pipeline:
         self.price_history()
         self.publish(documents_path)
         self.audit(stamped, partner)
+        self.check()

@@ -153,6 +153,17 @@ def merge_feeds(spark, sf):
     return unify.merge_feeds(unified(spark, sf), second)
 
 
+def merge_feeds_extra(spark, sf):
+    """Three feeds of one shop's items; the first two have a column of the shop's own."""
+    raw = offers.raw_offers(spark, sf)
+    flagged = raw.withColumn("usedGoods", F.when(F.col("originalPrice") == "", "false").otherwise("true"))
+    clicks = offers.second_feed(spark, sf).withColumn("usedGoods", F.lit("click"))
+    views = offers.raw_offers(spark, sf, price_shift=3, event_type="view")
+    one = lambda feed, extra: unify.one_per_day(unify.unify(feed, "day", extra=extra))
+    # The main feed is the smallest, so each column comes from every feed for some items.
+    return unify.merge_all([one(clicks, ["usedGoods"]), one(views, []), one(flagged, ["usedGoods"])], extra=["usedGoods"])
+
+
 # --- stage 02 ---------------------------------------------------------------
 
 
@@ -474,7 +485,7 @@ def _on_snapshot(operator, settings=audit.DEFAULT) -> Query:
 
 def _raised(settings, with_partner=False) -> Query:
     def query(spark, sf):
-        partner = offers.partner_feed(spark, sf) if with_partner else None
+        partner = offers.partner_feed(spark, sf, bool(settings.by)) if with_partner else None
         window = _audited("window", settings)(spark, sf)
         return audit.raised_reference_price(window, today(spark, sf), settings, partner)
 
@@ -487,6 +498,12 @@ def false_discounts_partner(spark, sf):
     )
 
 
+def false_discounts_partner_by_shop(spark, sf):
+    """Shops that sell the same items, each with its own partners, several a day."""
+    partner = offers.partner_feed(spark, sf, shared=True)
+    return audit.false_discounts_with_partner(_audited("snapshot", audit.BY_SHOP)(spark, sf), partner, audit.BY_SHOP)
+
+
 def count_raised(spark, sf):
     return audit.count_raised(_raised(audit.DEFAULT)(spark, sf))
 
@@ -709,6 +726,7 @@ def queries() -> dict[str, Query]:
         "audit_snapshot_by_shop": _audited("snapshot", audit.BY_SHOP),
         "false_discounts_by_shop": _on_snapshot(audit.false_discounts, audit.BY_SHOP),
         "raised_ref_price_by_shop": _raised(audit.BY_SHOP),
+        "raised_ref_price_partner_by_shop": _raised(audit.BY_SHOP, with_partner=True),
         "audit_dashboard_by_shop": _dashboard(audit.BY_SHOP),
         # Names of an earlier round, when the plain ones left rows out.
         "upsert_whole": upsert,
@@ -719,7 +737,7 @@ def queries() -> dict[str, Query]:
     }
     for query in (
         recent_rows, recent_rows_by_date, unify_prices, unify_prices_daily, unify_prices_keyed,
-        unify_prices_by_shop, unify_prices_used_goods, item_count_check, item_count_check_by_shop, merge_feeds,
+        unify_prices_by_shop, unify_prices_used_goods, item_count_check, item_count_check_by_shop, merge_feeds, merge_feeds_extra,
         active_items, calendar_days, date_item_grid, price_points, gap_fill, price_trend, common_price,
         price_changes, changes_since_up, last_change_v1, min_price_30d,
         latest_batch, latest_batch_by_shop, complete_prices, complete_prices_window,
@@ -729,7 +747,7 @@ def queries() -> dict[str, Query]:
         history_changes, last_attributes, price_history, price_history_by_shop, price_history_by_slug,
         price_history_by_pkey, price_history_plain, price_history_by_slug_whole, price_history_plain_whole,
         publish_metadata, publish_metadata_by_shop, publish_metadata_pkey, publish_history, publish_history_plain,
-        audit_stamp, audit_stamp_by_shop, false_discounts_partner, count_raised,
+        audit_stamp, audit_stamp_by_shop, false_discounts_partner, false_discounts_partner_by_shop, count_raised,
         migrate_unified, migrate_reference, migrate_complete,
         create_if_absent, upsert, upsert_unpartitioned, replace_table,
         dashboard_history,

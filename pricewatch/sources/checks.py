@@ -11,12 +11,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.days import as_day
 
 
-def table_inventory(tables: Mapping[str, DataFrame], bucket: str = "out") -> DataFrame:
-    """Name, row count and last change of each table, in one job."""
+def table_inventory(tables: Mapping[str, DataFrame], bucket: str = "out", loads: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Name, row count and last change of each table, in one job.
+
+    `loads` has the side tables of those that have one: they are counted from these, without a look at their rows.
+    """
+    loads = loads or {}
     if not tables:
         raise ValueError("no tables to list")
+
+    def counted(name: str, df: DataFrame) -> DataFrame:
+        rows = F.coalesce(F.sum("rows"), F.lit(0)) if name in loads else F.count("*")
+        last = F.to_date(F.max("_timestamp")).alias("lastChange")
+        return loads.get(name, df).agg(rows.alias("rowsCount"), last)
+
     rows = [
-        df.agg(F.count("*").alias("rowsCount"), F.to_date(F.max("_timestamp")).alias("lastChange")).select(
+        counted(name, df).select(
             F.lit(name).alias("name"),
             F.lit(name).alias("displayName"),
             "rowsCount",

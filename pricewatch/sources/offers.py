@@ -73,17 +73,22 @@ def second_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_offers(spark, sf_dir, price_shift=5, event_type="click")
 
 
-def partner_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as offers of partners: one row per item and day."""
+def partner_feed(spark: SparkSession, sf_dir: str, shared: bool = False) -> DataFrame:
+    """Orders as offers of partners: one row per item and day.
+
+    In the `shared` form the items are those of five shops with the same ids, and an item has as many partners a day as it has orders.
+    """
     orders = read_table(spark, sf_dir, "orders")
-    created = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("o_orderkey") % 30).cast("int"))
-    return (
-        orders.groupBy(
-            F.concat(F.lit("i"), (F.col("o_custkey") % 200).cast("string")).alias("ITEM_ID"),
-            created.cast("string").alias("CREATED"),
+    created = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("o_orderkey") % 30).cast("int")).cast("string")
+    user = F.col("o_custkey") % 200
+    if shared:
+        shop = F.element_at(F.array(*[F.lit(s) for s in SHOPS]), (user % 5 + 1).cast("int"))
+        item = F.concat(F.lit("i"), F.floor(user / 5).cast("string"))
+        return orders.select(
+            shop.alias("shop"), item.alias("ITEM_ID"), created.alias("CREATED"), F.col("o_orderpriority").alias("PARTNER")
         )
-        .agg(F.min("o_orderpriority").alias("PARTNER"))
-    )
+    item = F.concat(F.lit("i"), user.cast("string"))
+    return orders.groupBy(item.alias("ITEM_ID"), created.alias("CREATED")).agg(F.min("o_orderpriority").alias("PARTNER"))
 
 
 def shipped_prices(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from pricewatch.operators import audit
@@ -115,3 +116,24 @@ def test_own_name_labels_columns_and_types(spark):
     rows = [row("b", "2024-01-05", 50, 100, sale=10)]
     (r,) = audit.discount_mismatch(audit.audit_snapshot(completed(spark, rows), raw(spark), settings), settings).collect()
     assert r["sleva_dle_Tracker"] == price(10) and r["typ_neshody"].endswith("sleva Tracker")
+
+
+def test_one_partner_per_shop_item_and_day(spark):
+    rows = [
+        ("x", "a", "2024-03-09 10:00", "zeta"), ("x", "a", "2024-03-09 11:00", "beta"), ("x", "a", "2024-03-09", None),
+        ("x", "b", "2024-03-09", None), ("x", "a", "2024-03-10", "late"), ("y", "a", "2024-03-08", "other"), ("y", "c", "2024-03-07", "old"),
+    ]
+    feed = spark.createDataFrame(rows, "shop string, ITEM_ID string, CREATED string, PARTNER string")
+    found = lambda **options: sorted(map(tuple, audit.partner_of_day(feed, 1, **options).collect()), key=str)
+    assert found(exact=True, by=("shop",)) == [("x", "a", day("2024-03-09"), "beta"), ("x", "b", day("2024-03-09"), None), ("y", "c", day("2024-03-07"), "old")]
+    assert found(exact=True) == [("a", day("2024-03-09"), "beta"), ("b", day("2024-03-09"), None)]
+    assert len(found(exact=False, by=("shop",))) == 5
+
+
+def test_several_origins_in_the_last_minute_are_refused(spark):
+    rows = [("x", "one", "2024-03-09 10:00:01"), ("y", "two", "2024-03-09 10:00:59"), ("x", "one", "2024-03-08 10:00:00"), ("z", "", "2024-03-09 10:00:30")]
+    raw = spark.createDataFrame(rows, "shop string, shopOrigin string, date string")
+    with pytest.raises(Exception, match="several origins in the last minute: one, two"):
+        audit.audit_stamp(raw).collect()
+    assert audit.audit_stamp(raw.where("shop != 'y'")).first()["shop"] == "one"
+    assert audit.audit_stamp(raw, by=("shop",)).count() == 3

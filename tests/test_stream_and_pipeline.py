@@ -111,3 +111,70 @@ def test_several_shops_in_one_table(spark, tmp_path):
     }
     assert len(checks) == 2 * 7
     assert sorted(r["Shop"] for r in pipe.table("dashboard").collect()) == ["alfa_cz", "beta_sk"]
+
+
+def test_checks_from_run_to_run(spark, tmp_path):
+    """Counts are stored; the next run has the four states, and no day's rows are read to count them."""
+    root, schema = str(tmp_path), "itemId string, date date"
+
+    def load(on, name, rows):
+        frame = spark.createDataFrame([(i, on) for i in rows], schema)
+        at = datetime.datetime.combine(on, datetime.time(9))
+        if name == "metadata":
+            tables.upsert(frame, f"{root}/{name}", ["itemId"], loaded_at=at, buckets=2)
+        else:
+            tables.upsert(frame, f"{root}/{name}", ["itemId", "date"], partition_by="date", loaded_at=at)
+
+    def check(on):
+        pipe = Pipeline(spark, root, Settings(), as_of=on, loaded_at=datetime.datetime.combine(on, datetime.time(10)))
+        pipe.check(min_rows_drop=3)
+        return {r["tableName"]: (r["state"], r["yesterday"], r["today"], r["flagged"]) for r in pipe.table("row_count_drift").collect()}
+
+    first, second = day("2024-03-01"), day("2024-03-02")
+    load(first, "unified", "abc")
+    load(first, "metadata", "abc")
+    assert check(first) == {n: ("no_previous", None, None, False) for n in ("unified", "metadata")}
+    assert check(first) == {n: ("already_checked", None, None, False) for n in ("unified", "metadata")}
+    load(second, "unified", "ab")
+    load(second, "complete", "ab")
+    assert check(second) == {
+        "unified": ("changed", 3, 5, True), "metadata": ("missing_today", None, None, False), "complete": ("no_previous", None, None, False),
+    }
+
+
+def test_landed_offers_are_read_by_day(spark, tmp_path):
+    """A run and a stream over offers stored by day: other days' files are spoilt and not looked at."""
+    from pricewatch.sources import raw
+    from tests.test_history_store import spoil
+
+    path = str(tmp_path / "raw")
+    frame = lambda rows: spark.createDataFrame(rows, RAW_SCHEMA)
+    raw.land(frame([offer("a", "5", date="2024-01-04 10:00:00"), offer("b", "6"), offer("x", "1", date="")]), path, "one")
+    raw.land(frame([offer("b", "4", date="2024-01-05 12:00:00")]), path, "two")
+    raw.land(frame([offer("b", "4", date="2024-01-05 12:00:00")]), path, "two")  # landed again
+    assert raw.read(spark, path, RAW_SCHEMA).count() == 4
+    lines = raw.loads(spark, path)
+    assert lines.selectExpr("sum(rows)", "max(last_scrape)").first()[:] == (4, "2024-01-05 12:00:00")
+    spoil(tmp_path / "raw" / "day=2024-01-04" / "batch=one")
+    batch = frame([offer("b", "4", date="2024-01-05 12:00:00")])
+    stored = raw.read(spark, path, RAW_SCHEMA)
+    assert unify.rows_of_days(stored, batch).count() == 2
+    only = raw.read(spark, path, RAW_SCHEMA, [day("2024-01-05"), day("2023-01-01")])
+    assert only.count() == 2 and all("day=2024-01-05" in f for f in only.inputFiles())
+    assert raw.read(spark, path, RAW_SCHEMA, []).count() == 0
+
+
+def test_stream_by_day_with_a_cool_down(spark, tmp_path):
+    """New files start a run, at most one in each interval, until the stream is stopped."""
+    from pricewatch.sources import raw
+
+    root = str(tmp_path)
+    raw.land(spark.createDataFrame([offer("a", "5"), offer("b", "7")], RAW_SCHEMA), f"{root}/raw", "one")
+    query = stream_unify(spark, f"{root}/raw", RAW_SCHEMA, f"{root}/unified", f"{root}/checkpoint", by_day=True, cool_down="2 seconds")
+    try:
+        query.processAllAvailable()
+        raw.land(spark.createDataFrame([offer("a", "4")], RAW_SCHEMA), f"{root}/raw", "two")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert {r["itemId"]: r["currentPrice"] for r in tables.read(spark, f"{root}/unified").collect()} == {"a": price(4), "b": price(7)}

@@ -3,6 +3,7 @@ from decimal import Decimal
 
 from pricewatch.operators import unify
 from pricewatch.sources.offers import RAW_SCHEMA
+from tests.conftest import UNIFIED_SCHEMA, day, price
 
 
 def offer(item="a", current="100", original="", date="2024-01-05 10:00:00", **changes):
@@ -105,3 +106,32 @@ def test_a_hot_item_gives_the_same_result(spark):
     got = {r["itemId"]: r for r in unify.one_per_day(unify.unify(raw(spark, rows), "day")).collect()}
     assert len(got) == 2001
     assert (got["hot"]["currentPrice"], got["hot"]["originalPrice"]) == (Decimal(100), Decimal(204))
+
+
+def test_any_number_of_feeds_with_columns_of_their_own(spark):
+    """Lowest price, last claim, first other value; equal to merging one after the other."""
+    base = {"shop": "s", "itemName": None, "itemUrl": None, "slug": None, "originalPrice": None, "itemImage": None, "inStock": None}
+    feeds = [
+        [("a", 5, {"itemName": "first", "own": None}), ("b", 1, {"own": "main"})],
+        [("a", 3, {"originalPrice": price(9), "slug": "second"}), ("c", 2, {"itemName": "only"})],
+        [("a", 4, {"itemName": "third", "own": "third"}), ("b", None, {"originalPrice": price(8), "own": "late"}), ("c", 7, {"originalPrice": price(6)})],
+    ]
+    kinds = UNIFIED_SCHEMA.replace(", _timestamp", ", own string, _timestamp")
+    frames = []
+    for n, feed in enumerate(feeds):
+        rows = [
+            {**base, "own": None, **more, "itemId": i, "currentPrice": price(c), "date": day("2024-01-05"), "p_key": "k", "officialSale": None,
+             "_timestamp": datetime.datetime(2024, 1, 5 + n)}
+            for i, c, more in feed
+        ]
+        frame = spark.createDataFrame(rows, kinds)
+        frames.append(frame.drop("own") if n == 1 else frame)
+    got = {r["itemId"]: r for r in unify.merge_all(frames, extra=["own"]).collect()}
+    assert {i: (r["currentPrice"], r["originalPrice"], r["itemName"], r["slug"], r["own"], r["_timestamp"].day) for i, r in got.items()} == {
+        "a": (price(3), price(9), "first", "second", "third", 7),
+        "b": (price(1), price(8), None, None, "main", 7),
+        "c": (price(2), price(6), "only", None, None, 7),
+    }
+    plain = [f.drop("own") for f in frames]
+    step = unify.merge_feeds(unify.merge_feeds(plain[0], plain[1]), plain[2])
+    assert sorted(unify.merge_all(plain).collect(), key=str) == sorted(step.collect(), key=str)
