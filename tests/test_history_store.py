@@ -36,7 +36,7 @@ def test_equal_to_the_full_build_after_every_load(spark, tmp_path):
     store = HistoryStore(spark, str(tmp_path), buckets=4)
     table = {}
     start = day("2024-01-10")
-    for load in range(6):
+    for load in range(5):
         batch = {}
         for _ in range(pick.choice([1, 6, 25])):
             item = pick.choice(["a", "b", "c", None, f"new-{load}"])
