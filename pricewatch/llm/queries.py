@@ -69,7 +69,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2, threshold=80)
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2, threshold=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

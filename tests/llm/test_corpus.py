@@ -82,6 +82,55 @@ def test_near_duplicates_on_odd_rows(spark, odd, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_a_large_group_of_near_copies(spark):
+    """Two families of edited copies, many too far from the centre: equal to comparing all pairs, whatever was compared."""
+    random.seed(11)
+    vocabulary = [f"v{i}" for i in range(60)]
+    rows = []
+    for family in range(2):
+        base = [random.choice(vocabulary) + str(family) for _ in range(60)]
+        for _ in range(250):
+            w = list(base)
+            for _ in range(random.randrange(0, 14)):
+                at = random.randrange(len(w))
+                w[at : at + 1] = random.choice([[], [random.choice(vocabulary)], [w[at], "and"]])
+            rows.append((len(rows), " ".join(w[: random.choice([60, 60, 60, 48, 50])])))
+    assert found_groups(minhash.near_duplicates(documents(spark, rows), 2)) == linked_groups(rows, 2)
+
+
+def test_one_row_of_each_group_stays(spark, odd, none):
+    rows = [(1, "t t t"), (2, "t t t"), (2, "u v w"), (2, "u v w"), (3, "U v w"), (None, "t t t"), (None, "t t t"), (4, None), (4, ""), (5, "")]
+    left = minhash.deduplicated(documents(spark, rows), 2)
+    wanted = {(1, "t t t"): 1, (2, "u v w"): 1, (None, "t t t"): 2, (4, ""): 1, (5, ""): 1}
+    assert Counter((r["doc_id"], r["text"] or "") for r in left.collect()) == Counter(wanted)
+    assert minhash.deduplicated(none).count() == 0
+    assert {r["doc_id"] for r in minhash.deduplicated(odd, 2).collect()} == {None, 1, 2, 3, 4, 5, 7, 8}
+
+
+CLASHES = ["_size", "_group", "_cell", "_rank", "_own", "_copy", "_quality", "_accepted", "_cut", "_crate", "_first", "_row", "_copies", "_flag_id", "_id", "_md5", "aside0"]
+
+
+def test_stages_on_odd_rows_and_clashing_names(spark, odd, none):
+    """Each stage runs on nulls, repeats and no rows at all, and gives back further columns as they were."""
+    for docs in (odd, none):
+        for c in CLASHES:
+            docs = docs.withColumn(c, F.lit(c))
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            assert out.columns[: len(docs.columns)] == docs.columns or set(out.columns) == {*docs.columns, "slot"}, name
+            for r in out.collect():
+                assert all(r[c] == c for c in CLASHES), name
+
+
+def test_rows_whose_nulls_stand_elsewhere_are_told_apart(spark):
+    docs = documents(spark, [(1, "a b c", None), (1, None, "a b c")])
+    copies = Counter((r["text"], r["source"]) for r in mixing.mixed_documents(docs).collect())
+    wanted = Counter()
+    for r in mixing.mix(docs).collect():
+        wanted[r["size"]] += r["copies"]
+    assert copies["a b c", None] == wanted[3] and copies[None, "a b c"] == wanted[0]
+
+
 # --- decontamination
 
 PIECES = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
