@@ -12,15 +12,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents whose compression score is at least a half."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit_on_sample(docs, labels, "quality", F.pmod(crc(F.col("_id")), F.lit(3)) != 1)
-    scored = quality.score_texts(docs, model, score="_quality", predicted="_accepted")
-    return scored.where("_accepted = 1").select(*docs.columns)
+    return quality.accepted(docs, model)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group linked by five-word shingles at 0.8."""
-    found = minhash.near_duplicates(docs, shingle_words=5, threshold=80)
-    kept = found.where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+    return minhash.deduplicated(docs, shingle_words=5, threshold=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
